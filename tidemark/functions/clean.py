@@ -387,4 +387,6 @@ def mean_present(*cols: Column, scale: int = 2) -> Column:
     for c in cols:
         total = total + F.coalesce(c.cast("double"), F.lit(0.0))
         count = count + c.isNotNull().cast("int")
-    return F.round(total / F.nullif(count, F.lit(0)), scale)
+    # rounded as a decimal: the sum of doubles may sit a hair under a half
+    mean = (total / F.nullif(count, F.lit(0))).cast("decimal(28,10)")
+    return F.round(mean, scale).cast("double")

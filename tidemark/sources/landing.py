@@ -14,21 +14,34 @@ NULL_TOKENS = ("NULL", "null", "")
 PARTITIONS = ("year", "month", "day")
 
 
-def reader_options(schema: T.StructType) -> tuple[T.StructType, dict[str, str]]:
-    """Schema with the corrupt-line column, and the options of a tolerant read."""
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fields of JSON lines (column ``value``), each as the text it was written in.
+
+    A line that is no JSON object keeps its text in ``_corrupt_record``; bad
+    bytes are replaced, not fatal; blank lines are skipped. Works on a batch and
+    on a stream, and next to partition columns.
+    """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return full, {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "encoding": "UTF-8",
-        "lineSep": "\n",
-    }
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = (
+        lines.withColumn("_source_file", F.col("_metadata.file_path"))
+        .filter(F.trim("value") != "")
+        .withColumn("_parsed", F.from_json("value", full, options))
+    )
+    unreadable = F.when(F.col("_parsed").isNull(), F.col("value"))
+    others = [c for c in lines.columns if c != "value"]
+    return parsed.select(
+        *[F.col(f"_parsed.{f.name}") for f in schema.fields],
+        *others,
+        F.coalesce(F.col(f"_parsed.{CORRUPT}"), unreadable).alias(CORRUPT),
+        "_source_file",
+    )
 
 
-def with_lineage(df: DataFrame, as_of: str | datetime | None = None) -> DataFrame:
-    """Add load time (one value per batch) and source file."""
+def stamp_load(df: DataFrame, as_of: str | datetime | None = None) -> DataFrame:
+    """Add the load time: one value per batch, now unless given."""
     loaded = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return df.withColumns({"_loaded_at": loaded, "_source_file": F.col("_metadata.file_path")})
+    return df.withColumn("_loaded_at", loaded)
 
 
 def null_out(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
@@ -42,6 +55,13 @@ def null_out(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     return df.withColumns({c: drop_tokens(F.col(c), tokens) for c in texts})
 
 
+def project_text(df: DataFrame, json_col: str, columns: Sequence[str]) -> DataFrame:
+    """Add the named fields of a JSON text column, each as the text it was written in."""
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in columns])
+    parsed = df.withColumn("_parsed", F.from_json(F.col(json_col), fields))
+    return parsed.withColumns({name: F.col(f"_parsed.{name}") for name in columns}).drop("_parsed")
+
+
 def read_landing(
     spark: SparkSession,
     path: str,
@@ -56,11 +76,10 @@ def read_landing(
     ``only`` filters on the ``year / month / day`` folders, which skips files.
     Bad rows keep the unreadable line in ``_corrupt_record``.
     """
-    full, options = reader_options(schema)
-    landed = with_lineage(spark.read.schema(full).options(**options).json(path), as_of)
+    lines = spark.read.text(path)
     if only is not None:
-        landed = landed.filter(only)
-    landed = null_out(landed, null_tokens)
+        lines = lines.filter(only)
+    landed = null_out(stamp_load(parse_lines(lines, schema), as_of), null_tokens)
     good = landed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = landed.filter(F.col(CORRUPT).isNotNull()).select(
         "_source_file", "_loaded_at", CORRUPT
@@ -72,8 +91,7 @@ def read_with_status(
     spark: SparkSession, path: str, schema: T.StructType, as_of: str | datetime | None = None
 ) -> DataFrame:
     """All rows, bad ones included: the input of the load log."""
-    full, options = reader_options(schema)
-    return with_lineage(spark.read.schema(full).options(**options).json(path), as_of)
+    return stamp_load(parse_lines(spark.read.text(path), schema), as_of)
 
 
 def route(df: DataFrame, type_col: str, sinks: Mapping[str, str]) -> dict[str, DataFrame]:

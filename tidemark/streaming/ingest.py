@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.latest import keep_latest
-from tidemark.sources.landing import CORRUPT, null_out, reader_options, with_lineage
+from tidemark.sources.landing import CORRUPT, null_out, parse_lines, stamp_load
 from tidemark.sources.tables import PublishedTable
 
 
@@ -27,11 +27,10 @@ def stream_landing(
     (say ``"60 seconds"``) it keeps running. Bad lines come along with a filled
     ``_corrupt_record``.
     """
-    full, options = reader_options(schema)
-    reader = spark.readStream.schema(full).options(**options)
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    landed = null_out(with_lineage(reader.json(path)))
+    landed = null_out(stamp_load(parse_lines(reader.text(path), schema)))
     writer = landed.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return writer.trigger(**trigger).start()
