@@ -51,11 +51,13 @@ def scd2_apply(
     if history is None:
         return fresh
 
-    columns = [*history.columns, *[c for c in source.columns if c not in history.columns]]
+    # schemas are fetched once: every look at `.columns` asks the JVM
+    had, has, sourced = history.columns, fresh.columns, source.columns
+    columns = [*had, *[c for c in sourced if c not in had]]
     closed = history.filter(F.col("valid_to").isNotNull())
     current = history.filter(F.col("valid_to").isNull())
-    old = current.select([F.col(c).alias(f"old_{c}") for c in current.columns] + [F.lit(True).alias("has_old")])
-    new = fresh.select([F.col(c).alias(f"new_{c}") for c in fresh.columns] + [F.lit(True).alias("has_new")])
+    old = current.select(*[F.col(c).alias(f"old_{c}") for c in had], F.lit(True).alias("has_old"))
+    new = fresh.select(*[F.col(c).alias(f"new_{c}") for c in has], F.lit(True).alias("has_new"))
     same_key = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in keys]
     pairs = old.join(new, same_key, "full")
 
@@ -64,9 +66,7 @@ def scd2_apply(
 
     differs = F.lit(False)
     for c in check_cols:
-        differs = differs | ~stored("old", c, current.columns).eqNullSafe(
-            stored("new", c, fresh.columns)
-        )
+        differs = differs | ~stored("old", c, had).eqNullSafe(stored("new", c, has))
     both = F.col("has_old") & F.col("has_new")
     sides = (
         F.when(F.col("has_old").isNull(), F.array(F.lit(1)))
@@ -78,7 +78,7 @@ def scd2_apply(
     is_old = F.col("_side") == 0
     out = []
     for c in columns:
-        before, after = stored("old", c, current.columns), stored("new", c, fresh.columns)
+        before, after = stored("old", c, had), stored("new", c, has)
         if c == "valid_to":
             before = F.when(F.col("_ended"), now)
         out.append(F.when(is_old, before).otherwise(after).alias(c))
