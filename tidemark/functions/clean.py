@@ -62,7 +62,7 @@ _NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _BREAK_MARK = "\u0001 "
 
 
-def _digits(x: Column) -> Column:
+def digits(x: Column) -> Column:
     return F.regexp_replace(x, "[^0-9]", "")
 
 
@@ -77,7 +77,7 @@ def clean_id(x: Column) -> Column:
 
 
 def clean_booking_id(x: Column) -> Column:
-    return F.concat(F.lit("BKG-"), _digits(x))
+    return F.concat(F.lit("BKG-"), digits(x))
 
 
 def surrogate_key(x: Column) -> Column:
@@ -153,15 +153,22 @@ def clean_money(x: Column) -> Column:
 
 
 def clean_price(x: Column) -> Column:
-    return clean_money(F.regexp_replace(F.trim(x), "[$,]", ""))
+    return clean_money(F.translate(F.trim(x), "$,", ""))
+
+
+def rate_number(x: Column) -> Column:
+    return F.replace(F.trim(x), F.lit("%"), F.lit("")).try_cast("decimal(10,4)")
+
+
+def rate_share(v: Column) -> Column:
+    """Share in 0..1 of a number that may be a percentage; capped at 1."""
+    share = F.when(v > 100, F.lit(100)).when(v > 1, v).otherwise(v * F.lit(100))
+    return F.round(share / F.lit(100), 2).cast("decimal(10,2)")
 
 
 def clean_rate(x: Column) -> Column:
-    """Share in 0..1 from ``98%``, ``98`` or ``0.98``; capped at 1."""
-    v = F.replace(F.trim(x), F.lit("%"), F.lit("")).try_cast("decimal(10,4)")
-    share = F.when(v > 1, v / F.lit(100)).otherwise(v).cast("decimal(12,6)")
-    capped = F.when(share > 1, F.lit(1).cast("decimal(12,6)")).otherwise(share)
-    return F.round(capped, 2).cast("decimal(10,2)")
+    """Share from ``98%``, ``98`` or ``0.98``."""
+    return rate_share(rate_number(x))
 
 
 def clean_bathrooms(x: Column) -> Column:
@@ -195,8 +202,7 @@ def position_invalid(x: Column) -> Column:
 
 
 def parse_rating(x: Column) -> Column:
-    dotted = F.regexp_replace(F.replace(x, F.lit(","), F.lit(".")), "[^0-9.]", "")
-    return clean_double(dotted)
+    return F.regexp_replace(F.translate(x, ",", "."), "[^0-9.]", "").try_cast("double")
 
 
 def rescale_rating(v: Column) -> Column:
@@ -211,9 +217,8 @@ def guest_rating(rating: Column, trips: Column) -> Column:
     return F.when(~unrated, F.round(v, 2))
 
 
-def swap_coords(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+def repair_coords(a: Column, b: Column) -> tuple[Column, Column, Column]:
     """(latitude, longitude, suspect) with exchanged pairs put right."""
-    a, b = clean_double(lat), clean_double(lon)
     swapped = flag((a < 0) & (b > 0))
     return (
         F.when(swapped, b).otherwise(a),
@@ -222,14 +227,31 @@ def swap_coords(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
     )
 
 
+def swap_coords(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    return repair_coords(clean_double(lat), clean_double(lon))
+
+
 # ---- dates and times --------------------------------------------------------
+def strip_ordinals(x: Column, pattern: str = ORDINAL_SUFFIX) -> Column:
+    """``March 4th, 2025`` to ``March 4 2025``."""
+    return F.regexp_replace(x, pattern, "")
+
+
+def read_date(plain: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """First format that fits. One is tried only where its separator occurs."""
+    tries = []
+    for f in formats:
+        separator = next(ch for ch in f if not ch.isalpha())
+        tries.append(F.when(plain.contains(separator), F.try_to_date(plain, f)))
+    return F.coalesce(*tries)
+
+
 def clean_date(
     x: Column,
     formats: Sequence[str] = DATE_FORMATS,
     ordinal_pattern: str = ORDINAL_SUFFIX,
 ) -> Column:
-    plain = F.regexp_replace(x, ordinal_pattern, "")
-    return F.coalesce(*[F.try_to_date(plain, f) for f in formats])
+    return read_date(strip_ordinals(x, ordinal_pattern), formats)
 
 
 def clean_iso_date(x: Column) -> Column:
@@ -338,13 +360,17 @@ def split_os(x: Column) -> tuple[Column, Column]:
     return name, F.when(t.contains(" "), rest)
 
 
-def phone_e164(x: Column) -> Column:
-    d = _digits(x)
+def us_e164(d: Column) -> Column:
+    """E.164 form of a string of digits."""
     return F.when(F.length(d) == 10, F.concat(F.lit("+1"), d)).when(
         (F.length(d) == 11) & d.startswith("1"), F.concat(F.lit("+"), d)
     )
 
 
+def phone_e164(x: Column) -> Column:
+    return us_e164(digits(x))
+
+
 # ---- lists ------------------------------------------------------------------
 def parse_list(x: Column) -> Column:
     """String array from a JSON array, ``a|b`` or ``a, b``."""

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "_row_rank"
+_HASH = "_key_hash"
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -28,12 +29,14 @@ def keep_latest(
 
     Filtering the row number to 1 lets Spark cut every key to one row per input
     partition before the shuffle, so a key holding a large share of the table
-    never reaches one task whole.
+    never reaches one task whole. The window is keyed by a hash ahead of the keys
+    themselves: sorting then compares longs, not long equal text prefixes.
     """
     ties = [F.xxhash64(*df.columns)] if tie_cols is None else [_column(c) for c in tie_cols]
     order = [c.desc_nulls_first() for c in [*map(_column, order_cols), *ties]]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
+    rank = F.row_number().over(Window.partitionBy(_HASH, *keys).orderBy(*order))
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    return hashed.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK, _HASH)
 
 
 def high_water(df: DataFrame | None, mark_col: str, default: datetime) -> datetime:

@@ -5,7 +5,7 @@ Models are plain functions from frames to frames.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -62,6 +62,8 @@ def silver(entity: str, bronze_rows: DataFrame, mark: datetime | None = None) ->
 
 
 # ---- silver column lists ----------------------------------------------------
+# Values that several expressions use are parsed into `_name` columns first, so
+# that they are computed once per row.
 def _apply(fn, *names: str) -> list[Column]:
     return [fn(F.col(n)).alias(n) for n in names]
 
@@ -70,18 +72,34 @@ def _trimmed(*names: str) -> list[Column]:
     return _apply(F.trim, *names)
 
 
+def _parse(df: DataFrame, fns: dict[Callable[[Column], Column], Sequence[str]]) -> DataFrame:
+    """Add ``_name = fn(name)`` for every name."""
+    return df.withColumns({f"_{n}": fn(F.col(n)) for fn, names in fns.items() for n in names})
+
+
+def _finish(fn, *names: str) -> list[Column]:
+    """``fn`` of the parsed column, under the plain name."""
+    return [fn(F.col(f"_{n}")).alias(n) for n in names]
+
+
+def _same(x: Column) -> Column:
+    return x
+
+
 def clean_hosts(df: DataFrame) -> DataFrame:
-    listed, total = F.col("host_listings_count"), F.col("host_total_listings_count")
-    lost_count = (c.clean_int(listed) == 0) & (c.clean_int(total) > 0)
+    rates = ("host_response_rate", "host_acceptance_rate")
+    counts = ("host_listings_count", "host_total_listings_count")
+    df = _parse(df, {c.strip_ordinals: ["host_since"], c.rate_number: rates, c.clean_int: counts})
+    lost_count = (F.col(f"_{counts[0]}") == 0) & (F.col(f"_{counts[1]}") > 0)
     return df.select(
         *_apply(c.clean_id, "host_id"),
         *_apply(c.title_text, "host_name"),
         *_apply(c.lower_text, "host_email"),
-        *_apply(c.clean_date, "host_since"),
+        *_finish(c.read_date, "host_since"),
         *_apply(c.bucket_response, "host_response_time"),
-        *_apply(c.clean_rate, "host_response_rate", "host_acceptance_rate"),
+        *_finish(c.rate_share, *rates),
         *_apply(c.clean_bool, "is_superhost", "host_identity_verified"),
-        *_apply(c.clean_int, "host_listings_count", "host_total_listings_count"),
+        *_finish(_same, *counts),
         c.flag(lost_count).alias("has_listings_count_discrepancy"),
         *_apply(c.parse_list, "host_verifications"),
         *_trimmed("host_location"),
@@ -96,7 +114,15 @@ SCORES = tuple(
 
 
 def clean_listings(df: DataFrame) -> DataFrame:
-    latitude, longitude, suspect = c.swap_coords(F.col("latitude"), F.col("longitude"))
+    df = _parse(
+        df,
+        {
+            c.clean_double: ["latitude", "longitude", *SCORES],
+            c.parse_list: ["amenities"],
+            c.strip_ordinals: ["last_review_date"],
+        },
+    )
+    latitude, longitude, suspect = c.repair_coords(F.col("_latitude"), F.col("_longitude"))
     return df.select(
         *_apply(c.clean_id, "listing_id", "host_id"),
         *_trimmed("listing_name", "listing_description"),
@@ -108,17 +134,17 @@ def clean_listings(df: DataFrame) -> DataFrame:
         *_apply(c.clean_int, "maximum_nights"),
         *_apply(c.lower_text, "cancellation_policy"),
         *_apply(c.clean_bool, "instant_bookable"),
-        c.parse_list(F.col("amenities")).alias("amenities_array"),
-        c.list_size(F.col("amenities")).alias("amenity_count"),
+        F.col("_amenities").alias("amenities_array"),
+        F.array_size("_amenities").alias("amenity_count"),
         *_trimmed("neighborhood"),
         *_apply(c.title_text, "city"),
         *_apply(c.clean_country, "country"),
         latitude.alias("latitude"),
         longitude.alias("longitude"),
         suspect.alias("is_coords_suspect"),
-        *_apply(lambda x: c.rescale_rating(c.clean_double(x)), *SCORES),
+        *_finish(c.rescale_rating, *SCORES),
         *_apply(c.clean_int, "number_of_reviews"),
-        *_apply(c.clean_date, "last_review_date"),
+        *_finish(c.read_date, "last_review_date"),
         c.below(F.col("minimum_nights"), 0, inclusive=True).alias("is_data_quality_issue"),
         *LINEAGE,
     )
@@ -126,12 +152,13 @@ def clean_listings(df: DataFrame) -> DataFrame:
 
 def clean_guests(df: DataFrame) -> DataFrame:
     trips = F.col("total_trips")
+    df = _parse(df, {c.digits: ["guest_phone"], c.strip_ordinals: ["date_of_birth", "guest_since"]})
     return df.select(
         *_apply(c.clean_id, "guest_id"),
         *_apply(c.title_text, "guest_name"),
         *_apply(c.lower_text, "guest_email"),
-        *_apply(c.phone_e164, "guest_phone"),
-        *_apply(c.clean_date, "date_of_birth", "guest_since"),
+        *_finish(c.us_e164, "guest_phone"),
+        *_finish(c.read_date, "date_of_birth", "guest_since"),
         c.clean_country(F.col("nationality")).alias("nationality_iso2"),
         *_apply(c.clean_gender, "gender"),
         *_trimmed("preferred_language"),
@@ -147,11 +174,12 @@ COMPONENTS = ("base_price", "cleaning_fee_charged", "service_fee", "taxes")
 
 
 def clean_bookings(df: DataFrame) -> DataFrame:
+    prices = ("total_price", *COMPONENTS)
+    df = _parse(df, {c.strip_ordinals: ["check_in_date", "check_out_date"], c.clean_money: prices})
     parsed = df.withColumns(
         {
-            "_in": c.clean_date(F.col("check_in_date")),
-            "_out": c.clean_date(F.col("check_out_date")),
-            **{f"_{p}": c.clean_money(F.col(p)) for p in ("total_price", *COMPONENTS)},
+            "_in": c.read_date(F.col("_check_in_date")),
+            "_out": c.read_date(F.col("_check_out_date")),
         }
     )
     start, end = F.col("_in"), F.col("_out")
@@ -172,7 +200,7 @@ def clean_bookings(df: DataFrame) -> DataFrame:
         *_apply(c.lower_text, "booking_status", "payment_status"),
         *_apply(c.clean_platform, "source_platform"),
         *_trimmed("promo_code", "cancellation_reason", "special_requests"),
-        *[F.col(f"_{p}").alias(p) for p in ("total_price", *COMPONENTS)],
+        *_finish(_same, *prices),
         summed.alias("calculated_total_price"),
         c.price_mismatch(F.col("_total_price"), summed).alias("is_price_mismatch"),
         *_apply(c.clean_ts, "booked_at", "updated_at"),
@@ -196,12 +224,13 @@ RATINGS = tuple(
 
 
 def clean_reviews(df: DataFrame) -> DataFrame:
+    df = _parse(df, {c.parse_rating: RATINGS})
     return df.select(
         *_apply(c.clean_id, "review_id"),
         c.clean_booking_id(F.col("booking_id")).alias("booking_id_clean"),
         *_apply(c.clean_id, "listing_id", "reviewer_id", "reviewee_id"),
         *_trimmed("review_type"),
-        *_apply(lambda x: c.rescale_rating(c.parse_rating(x)), *RATINGS),
+        *_finish(c.rescale_rating, *RATINGS),
         *_apply(c.null_text, "review_text"),
         *_apply(c.null_response, "response_text"),
         *_apply(c.clean_bool, "is_public"),
