@@ -1,10 +1,11 @@
 """Star joins: as-of, current state, role dependent, by date; and orphan search.
 
-No join here carries a broadcast hint except the one on the date dimension,
-whose size is its number of days. For the others Spark decides from file sizes,
-or at run time from the measured size of the shuffled side, and splits
-partitions in which one key piles up. Rows whose key is NULL can match nothing,
-so :func:`lookup_join` scatters them instead of sending all to one partition.
+No join here carries a broadcast hint except those on the date dimension, whose
+size is its number of days, and on a list of hot keys, whose length is bounded by
+arithmetic. For the others Spark decides from file sizes, or at run time from the
+measured size of the shuffled side. Rows whose key is NULL can match nothing and
+are scattered. A key that holds a large share of the fact is cut into slices:
+find such keys with :func:`hot_keys` and pass them as ``hot``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.operators.history import CEILING
 
 MAX_BROADCAST_DAYS = 200_000
+HOT_SHARE = 1 / 2000
+SMALL_FACT = 5_000_000
+
+HotKeys = Sequence[tuple[str, int]]
 
 
 def _pick(dim: DataFrame, keys: Sequence[str], cols: Mapping[str, str]) -> DataFrame:
@@ -40,6 +45,59 @@ def _scattered(key: Column, spread_by: str) -> Column:
     return F.coalesce(key.cast("string"), filler)
 
 
+def hot_keys(
+    fact: DataFrame,
+    key: str | Column,
+    share: float = HOT_SHARE,
+    small: int = SMALL_FACT,
+) -> HotKeys:
+    """[(key text, slices)] of the keys holding at least ``share`` of the rows.
+
+    There can be no more than ``1 / share`` of them, so they fit the driver. A
+    key gets one slice per ``share`` it holds. Facts under ``small`` rows have none.
+    Run it on a stored table: it reads the key column once.
+    """
+    total = fact.count()
+    if total < small:
+        return []
+    column = F.col(key) if isinstance(key, str) else key
+    least = total * share
+    found = (
+        fact.select(column.cast("string").alias("key"))
+        .filter(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= least)
+        .collect()
+    )
+    return [(r.key, max(2, int(r.n / least))) for r in found]
+
+
+def _slice(
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: HotKeys, spread_by: str
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Number the slices of hot keys: fact rows get one, dimension rows all.
+
+    Returns both sides and the extra join condition.
+    """
+    if not hot:
+        return fact, dim, F.lit(True)
+    listed = fact.sparkSession.createDataFrame(list(hot), "_hot string, _slices int")
+
+    def sliced(df: DataFrame, key: str) -> DataFrame:
+        return df.join(F.broadcast(listed), F.col(key).cast("string") == F.col("_hot"), "left")
+
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    one = F.pmod(F.xxhash64(spread_by), slices).cast("int")
+    left = sliced(fact, fact_key).withColumn("_fact_slice", one).drop("_hot", "_slices")
+    every = F.explode(F.sequence(F.lit(0), slices - 1))
+    right = sliced(dim, dim_key).withColumn("_dim_slice", every).drop("_hot", "_slices")
+    return left, right, F.col("_fact_slice") == F.col("_dim_slice")
+
+
+_HELPERS = ("_fact_key", "_probe", "_dim_0", "_fact_slice", "_dim_slice", "_starts", "_ends")
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -47,6 +105,7 @@ def lookup_join(
     dim_key: str,
     cols: Sequence[str] | Mapping[str, str],
     spread_by: str | None = None,
+    hot: HotKeys = (),
 ) -> DataFrame:
     """Left join on one text key, adding ``cols`` of ``dim`` (optionally renamed).
 
@@ -54,11 +113,12 @@ def lookup_join(
     its first one, the identifier in all tables here.
     """
     key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    probe = _scattered(key, spread_by or fact.columns[0])
-    keyed = fact.withColumns({"_fact_key": key, "_probe": probe})
+    spread = spread_by or fact.columns[0]
+    keyed = fact.withColumns({"_fact_key": key, "_probe": _scattered(key, spread)})
     side = _pick(dim, [dim_key], _named(cols))
+    keyed, side, same_slice = _slice(keyed, side, "_probe", "_dim_0", hot, spread)
     match = (F.col("_probe") == F.col("_dim_0").cast("string")) & F.col("_fact_key").isNotNull()
-    return keyed.join(side, match, "left").drop("_fact_key", "_probe", "_dim_0")
+    return keyed.join(side, match & same_slice, "left").drop(*_HELPERS)
 
 
 def current_join(
@@ -68,9 +128,18 @@ def current_join(
     dim_key: str,
     cols: Sequence[str] | Mapping[str, str],
     flag_col: str = "is_current_record",
+    hot: HotKeys = (),
 ) -> DataFrame:
     """Left join against the current versions only."""
-    return lookup_join(fact, dim.filter(F.col(flag_col)), fact_key, dim_key, cols)
+    return lookup_join(fact, dim.filter(F.col(flag_col)), fact_key, dim_key, cols, hot=hot)
+
+
+def role_key(role_col: str, roles: Mapping[str, str]) -> Column:
+    """The column that ``roles`` names for each row's role; NULL for other roles."""
+    key = F.lit(None).cast("string")
+    for role, column in roles.items():
+        key = F.when(F.col(role_col) == role, F.col(column).cast("string")).otherwise(key)
+    return key
 
 
 def role_join(
@@ -80,39 +149,40 @@ def role_join(
     roles: Mapping[str, str],
     dim_key: str,
     cols: Sequence[str] | Mapping[str, str],
+    hot: HotKeys = (),
 ) -> DataFrame:
     """Left join where ``roles[role value]`` names the fact column to match.
 
     One key expression instead of an OR of conditions keeps it an equality join.
     A role outside ``roles`` has no key and matches nothing.
     """
-    key = F.lit(None).cast("string")
-    for role, column in roles.items():
-        key = F.when(F.col(role_col) == role, F.col(column).cast("string")).otherwise(key)
-    return lookup_join(fact, dim, key, dim_key, cols)
+    return lookup_join(fact, dim, role_key(role_col, roles), dim_key, cols, hot=hot)
 
 
 def asof_join(
     fact: DataFrame,
     dim: DataFrame,
-    keys: Mapping[str, str],
+    fact_key: str,
+    dim_key: str,
     fact_ts: str,
     cols: Sequence[str] | Mapping[str, str],
     from_col: str = "effective_valid_from",
     to_col: str = "valid_to",
+    spread_by: str | None = None,
+    hot: HotKeys = (),
 ) -> DataFrame:
     """Left join to the version valid at ``fact_ts``; windows are half open."""
     side = dim.select(
-        *[F.col(d).alias(f"_dim_{i}") for i, d in enumerate(keys.values())],
+        F.col(dim_key).alias("_dim_0"),
         F.col(from_col).alias("_starts"),
         F.coalesce(F.col(to_col), F.lit(CEILING).cast("timestamp")).alias("_ends"),
         *[F.col(c).alias(name) for c, name in _named(cols).items()],
     )
-    match = (F.col(fact_ts) >= F.col("_starts")) & (F.col(fact_ts) < F.col("_ends"))
-    for i, k in enumerate(keys):
-        match = match & (F.col(k) == F.col(f"_dim_{i}"))
-    helpers = [f"_dim_{i}" for i in range(len(keys))]
-    return fact.join(side, match, "left").drop("_starts", "_ends", *helpers)
+    spread = spread_by or fact.columns[0]
+    keyed, side, same_slice = _slice(fact, side, fact_key, "_dim_0", hot, spread)
+    within = (F.col(fact_ts) >= F.col("_starts")) & (F.col(fact_ts) < F.col("_ends"))
+    match = (F.col(fact_key) == F.col("_dim_0")) & within
+    return keyed.join(side, match & same_slice, "left").drop(*_HELPERS)
 
 
 def date_join(

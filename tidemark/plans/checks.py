@@ -115,9 +115,21 @@ def silver_checks() -> list[Check]:
         not_null("quarantine_invalid_bookings", "quarantine_reason"),
         _duplicates("silver_hosts", "host_id"),
         _duplicates("silver_listings", "listing_id"),
-        relation("booking_host_matches_listing", "silver_bookings", host_mismatch),
-        relation("reviews_reference_bookings", "silver_reviews", review_orphans),
-        relation("review_roles_valid", "silver_reviews", review_roles),
+        relation(
+            "booking_host_matches_listing",
+            "silver_bookings",
+            host_mismatch,
+            ["listing_id", "host_id"],
+        ),
+        relation(
+            "reviews_reference_bookings", "silver_reviews", review_orphans, ["booking_id_clean"]
+        ),
+        relation(
+            "review_roles_valid",
+            "silver_reviews",
+            review_roles,
+            ["review_type", "reviewer_id", "reviewee_id"],
+        ),
         rule("guest_phone_e164", "silver_guests", not_e164(F.col("guest_phone"))),
     ]
 

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import clean as c
 from tidemark.operators.history import scd2_dim
-from tidemark.operators.joins import asof_join, current_join, date_join, lookup_join, role_join
+from tidemark.operators.joins import (
+    HotKeys,
+    asof_join,
+    current_join,
+    date_join,
+    hot_keys,
+    lookup_join,
+    role_join,
+    role_key,
+)
 from tidemark.operators.rollup import session_metrics, session_rollup
 from tidemark.operators.shape import project_from_config
 from tidemark.plans.layers import RATINGS, TRACKED
@@ -75,6 +84,29 @@ HOST_AT_BOOKING = {
 }
 
 
+NO_HOT_KEYS: Mapping[str, HotKeys] = {}
+REVIEW_HOST = {"guest_to_host": "reviewee_id", "host_to_guest": "reviewer_id"}
+REVIEW_GUEST = {"guest_to_host": "reviewer_id", "host_to_guest": "reviewee_id"}
+
+
+def booking_hot_keys(bookings: DataFrame) -> dict[str, HotKeys]:
+    """Overfull join keys of stored silver bookings, for ``fct_bookings(hot=...)``."""
+    return {k: hot_keys(bookings, k) for k in ("listing_id", "host_id", "guest_id")}
+
+
+def review_hot_keys(reviews: DataFrame) -> dict[str, HotKeys]:
+    return {
+        "booking_id_clean": hot_keys(reviews, "booking_id_clean"),
+        "listing_id": hot_keys(reviews, "listing_id"),
+        "host_id": hot_keys(reviews, role_key("review_type", REVIEW_HOST)),
+        "guest_id": hot_keys(reviews, role_key("review_type", REVIEW_GUEST)),
+    }
+
+
+def event_hot_keys(events: DataFrame) -> dict[str, HotKeys]:
+    return {k: hot_keys(events, k) for k in ("listing_id", "guest_id")}
+
+
 def fct_bookings(
     bookings: DataFrame,
     listings: DataFrame,
@@ -82,12 +114,15 @@ def fct_bookings(
     guests: DataFrame,
     dim_date: DataFrame,
     days: int | None = None,
+    hot: Mapping[str, HotKeys] = NO_HOT_KEYS,
 ) -> DataFrame:
     """Valid bookings with the listing and host versions of the booking time."""
     valid = bookings.filter(F.col("is_date_valid"))
-    j = asof_join(valid, listings, {"listing_id": "listing_id"}, "booked_at", LISTING_AT_BOOKING)
-    j = asof_join(j, hosts, {"host_id": "host_id"}, "booked_at", HOST_AT_BOOKING)
-    j = lookup_join(j, guests, "guest_id", "guest_id", ["guest_key"])
+    versions = (("listing_id", listings, LISTING_AT_BOOKING), ("host_id", hosts, HOST_AT_BOOKING))
+    j = valid
+    for key, dim, cols in versions:
+        j = asof_join(j, dim, key, key, "booked_at", cols, hot=hot.get(key, ()))
+    j = lookup_join(j, guests, "guest_id", "guest_id", ["guest_key"], hot=hot.get("guest_id", ()))
     j = date_join(j, dim_date, "check_in_date", {"date_key": "check_in_date_key"}, days)
     total, stay = F.col("calculated_total_price"), F.col("calculated_nights")
     lead = c.lead_days(F.col("booked_at"), F.col("check_in_date"))
@@ -118,10 +153,6 @@ def fct_bookings(
     )
 
 
-REVIEW_HOST = {"guest_to_host": "reviewee_id", "host_to_guest": "reviewer_id"}
-REVIEW_GUEST = {"guest_to_host": "reviewer_id", "host_to_guest": "reviewee_id"}
-
-
 def fct_reviews(
     reviews: DataFrame,
     bookings: DataFrame,
@@ -130,20 +161,21 @@ def fct_reviews(
     guests: DataFrame,
     dim_date: DataFrame,
     days: int | None = None,
+    hot: Mapping[str, HotKeys] = NO_HOT_KEYS,
 ) -> DataFrame:
     """Public reviews. Of ``bookings`` only booking_id_clean and booking_key are read."""
     public = reviews.filter(F.col("is_public"))
     current_hosts = hosts.filter(F.col("is_current_record"))
-    j = lookup_join(public, bookings, "booking_id_clean", "booking_id_clean", ["booking_key"])
-    j = current_join(
-        j,
-        listings,
-        "listing_id",
-        "listing_id",
-        ["listing_key", "listing_name", "room_type", "neighborhood", "city"],
-    )
-    j = role_join(j, current_hosts, "review_type", REVIEW_HOST, "host_id", ["host_key"])
-    j = role_join(j, guests, "review_type", REVIEW_GUEST, "guest_id", ["guest_key"])
+    key = "booking_id_clean"
+    j = lookup_join(public, bookings, key, key, ["booking_key"], hot=hot.get(key, ()))
+    shown = ["listing_key", "listing_name", "room_type", "neighborhood", "city"]
+    key = "listing_id"
+    j = current_join(j, listings, key, key, shown, hot=hot.get(key, ()))
+    for dim, roles, key, found in (
+        (current_hosts, REVIEW_HOST, "host_id", "host_key"),
+        (guests, REVIEW_GUEST, "guest_id", "guest_key"),
+    ):
+        j = role_join(j, dim, "review_type", roles, key, [found], hot=hot.get(key, ()))
     j = date_join(j, dim_date, "reviewed_at", {"date_key": "reviewed_date_key"}, days)
     sub_ratings = [F.col(r) for r in RATINGS if r != "overall_rating"]
     return j.select(
@@ -166,6 +198,7 @@ def fct_listing_events(
     guests: DataFrame,
     dim_date: DataFrame,
     days: int | None = None,
+    hot: Mapping[str, HotKeys] = NO_HOT_KEYS,
 ) -> DataFrame:
     shown = {
         "listing_key": "listing_key",
@@ -175,8 +208,9 @@ def fct_listing_events(
         "city": "city",
         "price_per_night": "current_listing_price",
     }
-    j = current_join(events, listings, "listing_id", "listing_id", shown)
-    j = lookup_join(j, guests, "guest_id", "guest_id", ["guest_key"])
+    listing, guest = "listing_id", "guest_id"
+    j = current_join(events, listings, listing, listing, shown, hot=hot.get(listing, ()))
+    j = lookup_join(j, guests, guest, guest, ["guest_key"], hot=hot.get(guest, ()))
     j = date_join(j, dim_date, "event_timestamp", {"date_key": "event_date_key"}, days)
     return j.select(
         c.surrogate_key(F.col("event_id")).alias("event_key"),
@@ -197,6 +231,7 @@ def fct_sessions(
     guests: DataFrame,
     dim_date: DataFrame,
     days: int | None = None,
+    hot: Mapping[str, HotKeys] = NO_HOT_KEYS,
 ) -> DataFrame:
     """One row per session, rolled up before any dimension is joined."""
     rolled = session_rollup(
@@ -207,8 +242,10 @@ def fct_sessions(
         c.FUNNEL_STEPS,
         carry_min=["guest_id", "listing_id"],
     )
-    j = current_join(session_metrics(rolled), listings, "listing_id", "listing_id", ["listing_key"])
-    j = lookup_join(j, guests, "guest_id", "guest_id", ["guest_key"])
+    listing, guest = "listing_id", "guest_id"
+    j = session_metrics(rolled)
+    j = current_join(j, listings, listing, listing, ["listing_key"], hot=hot.get(listing, ()))
+    j = lookup_join(j, guests, guest, guest, ["guest_key"], hot=hot.get(guest, ()))
     j = date_join(j, dim_date, "session_started_at", {"date_key": "session_date_key"}, days)
     return j.select(
         c.surrogate_key(F.col("session_id")).alias("session_key"),
@@ -226,8 +263,10 @@ def obt_bookings(
     dim_date: DataFrame,
     columns: Sequence[str] = OBT_BOOKING_COLS,
     days: int | None = None,
+    hot: Mapping[str, HotKeys] = NO_HOT_KEYS,
 ) -> DataFrame:
     """Wide booking table; ``columns`` is the configuration."""
-    j = lookup_join(fact, guests, "guest_key", "guest_key", GUEST_COLS)
+    key = "guest_key"
+    j = lookup_join(fact, guests, key, key, GUEST_COLS, hot=hot.get(key, ()))
     j = date_join(j, dim_date, "check_in_date", DATE_COLS, days)
     return project_from_config(j, columns)

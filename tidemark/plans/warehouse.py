@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.joins import hot_keys
 from tidemark.operators.quality import Check, gate, run_checks
 from tidemark.plans import gold
 from tidemark.plans.checks import bronze_checks, gold_checks, silver_checks
@@ -91,24 +92,32 @@ class Warehouse:
         dates = date_dimension(self.spark, *self.calendar)
         first, last = (datetime.fromisoformat(d) for d in self.calendar)
         days = (last - first).days + 1
+        bookings, reviews, events = (
+            self.read(f"silver_{e}") for e in ("bookings", "reviews", "listing_events")
+        )
+        hot = gold.booking_hot_keys(bookings)
         self._rebuild(
             "gold_fct_bookings",
-            gold.fct_bookings(self.read("silver_bookings"), listings, hosts, guests, dates, days),
+            gold.fct_bookings(bookings, listings, hosts, guests, dates, days, hot),
         )
         facts = self.read("gold_fct_bookings")
-        reviews, events = self.read("silver_reviews"), self.read("silver_listing_events")
+        hot = gold.review_hot_keys(reviews)
         self._rebuild(
             "gold_fct_reviews",
-            gold.fct_reviews(reviews, facts, listings, hosts, guests, dates, days),
+            gold.fct_reviews(reviews, facts, listings, hosts, guests, dates, days, hot),
         )
+        hot = gold.event_hot_keys(events)
         self._rebuild(
             "gold_fct_listing_events",
-            gold.fct_listing_events(events, listings, guests, dates, days),
+            gold.fct_listing_events(events, listings, guests, dates, days, hot),
+        )
+        self._rebuild(
+            "gold_fct_sessions", gold.fct_sessions(events, listings, guests, dates, days, hot)
         )
+        hot = {"guest_key": hot_keys(facts, "guest_key")}
         self._rebuild(
-            "gold_fct_sessions", gold.fct_sessions(events, listings, guests, dates, days)
+            "gold_obt_bookings", gold.obt_bookings(facts, guests, dates, days=days, hot=hot)
         )
-        self._rebuild("gold_obt_bookings", gold.obt_bookings(facts, guests, dates, days=days))
 
     def report(self, checks: list[Check]) -> DataFrame:
         return run_checks(checks, self.tables())

@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -60,10 +59,17 @@ class PublishedTable:
         versions = self._manifest_versions()
         if not versions:
             return None
-        text = self.spark.read.text(
-            f"{self.path}/_manifests/{versions[-1]:010d}.json", wholetext=True
-        ).first()[0]
-        return json.loads(text)
+        return self._load(versions[-1])
+
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.path}/_manifests/{version:010d}.json"
+
+    def _load(self, version: int) -> dict:
+        stream = self._fs.open(self._hadoop_path(self._manifest_path(version)))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+        finally:
+            stream.close()
 
     def exists(self) -> bool:
         return bool(self._manifest_versions())
@@ -107,23 +113,46 @@ class PublishedTable:
         if self._already(now, batch_id):
             return False
         if now is None:
-            self._publish(require_unique(batch, self.keys), None, {}, batch_id)
+            self._publish(batch, None, {}, batch_id, verify=True)
             return True
-        stored_schema = self._frame(now, []).schema
-        change = schema_changes(self.spark.createDataFrame([], stored_schema), batch)
-        require_unique(batch, self.keys)
+        # The batch is written once: its plan is not run again for the key check,
+        # the list of touched buckets and the merge.
+        staged_at = f"{self.path}/_staging/{_token(self.spark)}"
+        batch.write.parquet(staged_at)
+        staged = self.spark.read.schema(batch.schema).parquet(staged_at)
+        require_unique(staged, self.keys)
         # at most `buckets` small integers
-        touched = sorted(
-            r[0] for r in batch.select(self._bucket_of().alias("b")).distinct().collect()
-        )
+        touched = sorted(r[0] for r in staged.select(self._bucket_of()).distinct().collect())
+        change = schema_changes(self._frame(now, []), staged)
         if change["retyped"] or now["buckets"] != self.buckets:
             touched, kept = None, {}
         else:
             kept = {b: p for b, p in now["parts"].items() if int(b) not in set(touched)}
-        merged = merge_upsert(self._frame(now, touched), batch, self.keys, order_guard)
+        merged = merge_upsert(self._frame(now, touched), staged, self.keys, order_guard)
         self._publish(merged, now, kept, batch_id)
+        self._fs.delete(self._hadoop_path(staged_at), True)
         return True
 
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete version folders that none of the last ``keep`` manifests use."""
+        versions = self._manifest_versions()
+        used = {
+            part.rsplit("/", 1)[0]
+            for v in versions[-keep:]
+            for part in self._load(v)["parts"].values()
+        }
+        newest = max((p.split("/", 1)[1] for p in used), default="")
+        removed = 0
+        data = self._hadoop_path(f"{self.path}/data")
+        for status in self._fs.listStatus(data) if self._fs.exists(data) else []:
+            name = status.getPath().getName()
+            # folders newer than every used one may belong to a running publish
+            if f"data/{name}" not in used and name < newest:
+                removed += bool(self._fs.delete(status.getPath(), True))
+        for v in versions[:-keep]:
+            self._fs.delete(self._hadoop_path(self._manifest_path(v)), False)
+        return removed
+
     def _already(self, now: dict | None, batch_id: int | None) -> bool:
         return (
             batch_id is not None
@@ -137,7 +166,14 @@ class PublishedTable:
             return F.lit(0)
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _publish(self, df: DataFrame, now: dict | None, kept: dict, batch_id: int | None) -> None:
+    def _publish(
+        self,
+        df: DataFrame,
+        now: dict | None,
+        kept: dict,
+        batch_id: int | None,
+        verify: bool = False,
+    ) -> None:
         version = 1 if now is None else now["version"] + 1
         folder = f"data/v{version:010d}-{_token(self.spark)}"
         # A rebalance evens out file sizes: small buckets share tasks, a large
@@ -145,6 +181,9 @@ class PublishedTable:
         out = df.withColumn(_BUCKET, self._bucket_of())
         out = out.hint("rebalance", F.col(_BUCKET)) if self.keys else out.hint("rebalance")
         out.write.mode("error").partitionBy(_BUCKET).parquet(f"{self.path}/{folder}")
+        if verify:
+            stored = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}")
+            require_unique(stored, self.keys)
         written = self._hadoop_path(f"{self.path}/{folder}")
         names = [s.getPath().getName() for s in self._fs.listStatus(written)]
         parts = dict(kept)
@@ -171,7 +210,7 @@ class PublishedTable:
         return None if best == default else best.isoformat()
 
     def _commit(self, version: int, text: str) -> None:
-        final = self._hadoop_path(f"{self.path}/_manifests/{version:010d}.json")
+        final = self._hadoop_path(self._manifest_path(version))
         draft = self._hadoop_path(f"{self.path}/_manifests/.{version}-{_token(self.spark)}.draft")
         if self._fs.exists(final):
             raise ConcurrentPublish(f"{self.path} version {version}")
@@ -187,6 +226,3 @@ class PublishedTable:
 def _token(spark: SparkSession) -> str:
     return spark.sparkContext._jvm.java.util.UUID.randomUUID().toString()[:8]
 
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -326,7 +326,7 @@ on o.{key} = v.entity_id and o.booked_at >= v.eff and o.booked_at < coalesce(v.v
 
 def _asof(src, versions: str, key: str) -> DataFrame:
     dim = history.backdate_first(src.sql(versions), "entity_id")
-    out = joins.asof_join(src.sql(_ORDER_FACT), dim, {key: "entity_id"}, "booked_at", ["version_no", "amount"])
+    out = joins.asof_join(src.sql(_ORDER_FACT), dim, key, "entity_id", "booked_at", ["version_no", "amount"])
     return out.select("o_orderkey", "version_no", "amount")
 
 
