@@ -1,5 +1,6 @@
 """Two full refreshes over a small clean feed, and a gate that stops a third."""
 
+import os
 from datetime import date
 
 import pytest
@@ -10,6 +11,7 @@ from tidemark.plans.checks import all_checks
 from tidemark.plans.gold import OBT_BOOKING_COLS
 from tidemark.plans.warehouse import MODELS, Warehouse
 from tidemark.sources.calendar import date_dimension
+from tidemark.sources.landing import read_entity
 from tidemark.sources.schemas import RAW_COLUMNS
 
 
@@ -99,6 +101,25 @@ def test_a_violation_stops_what_follows(spark, house):
     assert house.table("listings_snapshot").manifest()["version"] == before
 
 
+def test_landed_files_stream_into_bronze(spark, folder):
+    w = Warehouse(spark, f"{folder}/house", buckets=4)
+
+    def deliver(day, *lines):
+        where = f"{folder}/landing/host/year=2025/month=1/day={day}"
+        os.makedirs(where)
+        with open(f"{where}/part.json", "w") as f:
+            f.write("\n".join(lines))
+        w.ingest("hosts", f"{folder}/landing", f"{folder}/checkpoint").awaitTermination()
+
+    host = '{"host_id": "H-%d", "host_name": "%s", "is_superhost": true, "_stream_timestamp": "2025-01-0%dT00:00:00Z"}'
+    deliver(1, host % (1, "ann", 1), host % (1, "old", 0), host % (2, "bo", 1), "{broken")
+    deliver(2, host % (1, "anna", 2))
+    got = {r.host_id: (r.host_name, r.is_superhost) for r in w.read("bronze_hosts").collect()}
+    assert got == {"H-1": ("anna", "true"), "H-2": ("bo", "true")}
+    good, bad = read_entity(spark, f"{folder}/landing", "hosts", only=F.col("day") == 1)
+    assert good.count() == 3 and bad.count() == 1
+
+
 def test_calendar(spark):
     dates = date_dimension(spark)
     assert dates.count() == 3288

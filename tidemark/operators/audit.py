@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.shape import union_all
+
 
 def _instant(ts: str | datetime | Column) -> Column:
     return ts if isinstance(ts, Column) else F.lit(ts).cast("timestamp")
@@ -33,7 +34,7 @@ def freshness(
         .when(F.col("age_seconds") > warn_hours * 3600, "warn")
         .otherwise("pass")
     )
-    merged = reduce(DataFrame.unionByName, rows)
+    merged = union_all(rows)
     return merged.withColumn("age_seconds", age).withColumn("status", status)
 
 
@@ -45,7 +46,7 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, rows).orderBy("table_name")
+    return union_all(rows).orderBy("table_name")
 
 
 def load_log(

@@ -19,7 +19,7 @@ def merge_upsert(
     ``batch`` must be unique on ``keys``. It wins even when its rows are older,
     unless ``order_guard`` names a column: then a target row with a greater
     value stays. NULL keys match nothing. With ``sync_schema`` the result takes
-    the batch's columns, otherwise the target's.
+    the batch's columns and types, otherwise the target's.
     """
     if target is None:
         return batch
@@ -34,9 +34,24 @@ def merge_upsert(
         )
     columns = batch.columns if sync_schema else target.columns
     untouched = target.join(batch.select(*keys), keys, "left_anti")
+    if sync_schema:
+        untouched = _retyped(untouched, batch)
+    else:
+        batch = _retyped(batch, target)
     return untouched.unionByName(batch, allowMissingColumns=True).select(*columns)
 
 
+def _retyped(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Shared columns in the types of ``like``; a value that does not fit is NULL."""
+    wanted = {f.name: f.dataType for f in like.schema}
+    changed = {
+        f.name: F.col(f.name).try_cast(wanted[f.name])
+        for f in df.schema
+        if f.name in wanted and wanted[f.name] != f.dataType
+    }
+    return df.withColumns(changed) if changed else df
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with their counts."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.joins import orphans
 from tidemark.operators.merge import repeated_keys
+from tidemark.operators.shape import union_all
 
 E164 = r"^\+1[0-9]{10}$"
 
@@ -116,7 +116,7 @@ def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Data
             ]
         )
         parts.append(tables[table].agg(*counts).select(F.inline(pairs)))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 class QualityError(RuntimeError):

@@ -9,6 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.clean import flag
 
 
+def union_all(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union by name, built as a balanced tree: many frames stay quick to analyse."""
+    level = list(frames)
+    while len(level) > 1:
+        pairs = [level[i : i + 2] for i in range(0, len(level), 2)]
+        level = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
+    return level[0]
+
+
 def project_from_config(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Select the configured columns in order; unknown or repeated names fail."""
     unknown = [n for n in names if n not in df.columns]

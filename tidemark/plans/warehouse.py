@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.joins import hot_keys
 from tidemark.operators.quality import Check, gate, run_checks
@@ -21,7 +22,10 @@ from tidemark.plans.layers import (
 )
 from tidemark.session import tune
 from tidemark.sources.calendar import END, START, date_dimension
+from tidemark.sources.landing import CORRUPT
+from tidemark.sources.schemas import LANDING_FOLDERS, raw_schema
 from tidemark.sources.tables import PublishedTable
+from tidemark.streaming.ingest import stream_landing
 
 FIRST_MARK = datetime(2000, 1, 1, tzinfo=timezone.utc)
 SNAPSHOTS = {"hosts": "host_id", "listings": "listing_id"}
@@ -69,6 +73,22 @@ class Warehouse:
         for entity, raw in raws.items():
             self._increment(f"bronze_{entity}", lambda mark: bronze(entity, raw, mark))
 
+    def ingest(
+        self, entity: str, root: str, checkpoint: str, interval: str | None = None
+    ) -> StreamingQuery:
+        """Stream one entity's landing folder into its bronze table."""
+        table = self.table(f"bronze_{entity}")
+
+        def on_batch(batch: DataFrame, batch_id: int) -> None:
+            raw = batch.filter(F.col(CORRUPT).isNull())
+            columns = [f.name for f in raw_schema(entity)]
+            rows = raw.select(*columns, "_source_file", "_loaded_at")
+            table.merge(BRONZE[entity].latest(rows), batch_id=batch_id)
+
+        path = f"{root.rstrip('/')}/{LANDING_FOLDERS[entity]}"
+        schema = raw_schema(entity)
+        return stream_landing(self.spark, path, schema, checkpoint, on_batch, interval)
+
     def run_silver(self) -> None:
         for entity in SILVER:
             source = self.table(f"bronze_{entity}").read()

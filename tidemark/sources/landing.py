@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.clean import null_tokens as drop_tokens
+from tidemark.sources.schemas import LANDING_FOLDERS, raw_schema
 
 CORRUPT = "_corrupt_record"
 NULL_TOKENS = ("NULL", "null", "")
@@ -87,6 +88,18 @@ def read_landing(
     return good, bad
 
 
+def read_entity(
+    spark: SparkSession,
+    root: str,
+    entity: str,
+    as_of: str | datetime | None = None,
+    only: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) rows of one entity's landing folder: the raw table."""
+    path = f"{root.rstrip('/')}/{LANDING_FOLDERS[entity]}"
+    return read_landing(spark, path, raw_schema(entity), as_of=as_of, only=only)
+
+
 def read_with_status(
     spark: SparkSession, path: str, schema: T.StructType, as_of: str | datetime | None = None
 ) -> DataFrame:

@@ -57,6 +57,17 @@ ENTITY_TYPES = {
     "listing_event": "listing_events",
 }
 
+# entity -> folder its files land in
+LANDING_FOLDERS = {
+    "hosts": "host",
+    "listings": "listing",
+    "guests": "guest",
+    "bookings": "booking",
+    "reviews": "review",
+    "availability_calendar": "availability_calendar",
+    "listing_events": "listing_events",
+}
+
 
 def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,10 +20,6 @@ from tidemark.workload.registry import query
 FIRST = datetime(1900, 1, 1, tzinfo=timezone.utc)
 
 
-def _union(frames) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 # ---- sources and sinks ------------------------------------------------------
 _FEED = (
     "select event_id, user_id, event_type, cast(cast(value as decimal(10,2)) as string) as value, props, "
@@ -124,7 +119,7 @@ def route_entities(src):
     events = src.table("events").select("event_id", "event_type")
     sinks = landing.route(events, "event_type", _SINKS)
     sinks["unrouted"] = landing.unrouted(events, "event_type", _SINKS)
-    return _union([df.select("event_id", F.lit(name).alias("sink")) for name, df in sinks.items()])
+    return shape.union_all([df.select("event_id", F.lit(name).alias("sink")) for name, df in sinks.items()])
 
 
 @query(
@@ -826,4 +821,4 @@ def check_fact_rules(src):
         quality.rule("dates", "facts", F.col("d_out") < F.col("d_in")),
         quality.rule("revenue", "facts", unpaid),
     ]
-    return _union([k.rows(tables).select(F.lit(k.name).alias("rule"), "o_orderkey") for k in checks])
+    return shape.union_all([k.rows(tables).select(F.lit(k.name).alias("rule"), "o_orderkey") for k in checks])
