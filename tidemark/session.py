@@ -52,3 +52,8 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
