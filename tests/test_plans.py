@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.workload.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
@@ -20,7 +21,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_nested_loop_and_no_python(spark, name):
     plan = plan_of(contract.queries()[name](spark, SF_DIR))
     if name not in ONE_ROW_CROSS:
