@@ -45,7 +45,11 @@ _SETTLED = 2
 
 @dataclass
 class Stretch:
-    """An encoded stretch of a text."""
+    """An encoded stretch of a text.
+
+    ``starts`` lists the places of pieces from either end of the stretch that are
+    known so far; see :meth:`Codec.starts`.
+    """
 
     text: str
     ids: list[int]

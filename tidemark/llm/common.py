@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import scratch, tune
 
-# The characters between words: space and \t \n \v \f \r.
-BLANKS = "\t\n\x0b\x0c\r"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,12 +28,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+# Words are runs of anything but space and \t \n \v \f \r.
+BLANK = r"[\x20\x09-\x0D]"
+NOT_BLANK = r"[^\x20\x09-\x0D]"
+
+
 def spaced(text: Column) -> Column:
     """``text`` (NULL as empty) with every blank turned into a space."""
-    out = F.coalesce(text, F.lit(""))
-    for blank in BLANKS:
-        out = F.replace(out, F.lit(blank), F.lit(" "))
-    return out
+    out = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
+    rare = r"[\x09\x0B-\x0D]"
+    return F.when(F.rlike(text, F.lit(rare)), F.regexp_replace(out, rare, " ")).otherwise(out)
 
 
 def words(text: Column) -> Column:
@@ -45,11 +45,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(spaced(text), " "), "")
 
 
-def without(text: Column, characters: str) -> Column:
-    out = text
-    for c in characters:
-        out = F.replace(out, F.lit(c), F.lit(""))
-    return out
+def occurrences(text: Column, characters: str) -> Column:
+    """How many of ``characters`` are in ``text``; most texts have none and are only searched."""
+    group = "[" + "".join(f"\\{c}" for c in characters) + "]"
+    found = F.length(text) - F.length(F.regexp_replace(text, group, ""))
+    return F.when(F.rlike(text, F.lit(group)), found).otherwise(0).cast("long")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import let, spaced, without, words
+from tidemark.llm.common import NOT_BLANK, let, occurrences, spaced
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -52,65 +52,64 @@ RULES = (
 )
 
 
-def repeated_words(tokens: Column) -> Column:
-    """How many words lie in a five-word window that occurs at least twice.
+def window_hashes(tokens: Column) -> Column:
+    """A 64-bit hash of every five-word window, by its first word's place."""
 
-    Windows are compared by a 64-bit hash of their words. Most texts have no
-    repeated window, which one distinct count shows; only the others are sorted.
-    """
-
-    def window_hash(i: Column) -> Column:
+    def window(i: Column) -> Column:
         return F.xxhash64(*[F.get(tokens, i + k) for k in range(WINDOW)])
 
-    def covered(hashes: Column) -> Column:
-        pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return let(
-            pairs,
-            lambda p: F.aggregate(
-                F.array_sort(
-                    F.transform(
-                        F.filter(
-                            p,
-                            lambda x, j: F.coalesce(F.get(p, j - 1)["h"] == x["h"], F.lit(False))
-                            | F.coalesce(F.get(p, j + 1)["h"] == x["h"], F.lit(False)),
-                        ),
-                        lambda x: x["i"],
-                    )
-                ),
-                F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
-                lambda acc, i: F.struct(
-                    (acc["n"] + i + WINDOW - F.greatest(acc["end"], i)).alias("n"),
-                    (i + WINDOW).alias("end"),
-                ),
-                lambda acc: acc["n"],
+    return F.when(
+        F.size(tokens) > WINDOW,
+        F.transform(F.sequence(F.lit(0), F.size(tokens) - WINDOW), window),
+    ).otherwise(F.array().cast("array<bigint>"))
+
+
+def repeated_words(hashes: Column) -> Column:
+    """How many words lie in a window that occurs at least twice.
+
+    Most texts have no repeated window, which one distinct count shows; only the
+    windows of the others are sorted.
+    """
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+
+    def twin(p: Column, j: Column, x: Column) -> Column:
+        return F.coalesce(F.get(p, j)["h"] == x["h"], F.lit(False))
+
+    def covered(p: Column) -> Column:
+        repeated = F.filter(p, lambda x, j: twin(p, j - 1, x) | twin(p, j + 1, x))
+        return F.aggregate(
+            F.sort_array(F.transform(repeated, lambda x: x["i"])),
+            F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
+            lambda acc, i: F.struct(
+                (acc["n"] + i + WINDOW - F.greatest(acc["end"], i)).alias("n"),
+                (i + WINDOW).alias("end"),
             ),
+            lambda acc: acc["n"],
         )
 
-    hashes = F.transform(F.sequence(F.lit(0), F.size(tokens) - WINDOW), window_hash)
-    found = let(
-        hashes,
-        lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), covered(h)).otherwise(0),
-    )
-    return F.when(F.size(tokens) > WINDOW, found).otherwise(0).cast("long")
+    repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
+    return F.when(repeats, let(pairs, covered)).otherwise(0).cast("long")
 
 
 def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with the counts and ratios that the rules look at."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(
-        F.split(F.col("_text"), "\n"), lambda line: F.length(F.trim(spaced(line))) > 0
-    )
-    step = df.withColumn("_text", text).withColumns({"_words": words(F.col("_text")), "_lines": lines})
+    lines = F.filter(F.split("_text", "\n"), lambda line: F.rlike(line, F.lit(NOT_BLANK)))
+    # Helper columns: what is used more than once is computed once, in generated code.
+    step = df.withColumn("_text", text).withColumn("_spaced", spaced(F.col("_text")))
+    step = step.withColumns({"_parts": F.split("_spaced", " "), "_lines": lines})
+    step = step.withColumn("_words", F.array_remove("_parts", ""))
+    step = step.withColumn("_windows", window_hashes(F.col("_words")))
     stop = F.size(F.filter("_words", lambda w: F.lower(w).isin(*sorted(set(STOP_WORDS)))))
     step = step.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(without(spaced(F.col("_text")), " ")).cast("long"),
-            "n_symbols": (F.length("_text") - F.length(without(F.col("_text"), SYMBOLS))).cast("long"),
-            "n_exclamations": F.length("_text") - F.length(without(F.col("_text"), "!")),
+            "word_chars": (F.length("_spaced") - F.size("_parts") + 1).cast("long"),
+            "n_symbols": occurrences(F.col("_text"), SYMBOLS),
+            "n_exclamations": occurrences(F.col("_text"), "!"),
             "n_lines": F.size("_lines"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": repeated_words(F.col("_words")),
+            "n_repeat_words": repeated_words(F.col("_windows")),
             "n_stop_words": stop,
         }
     )
@@ -123,7 +122,7 @@ def measures(df: DataFrame, text_col: str = "text") -> DataFrame:
             "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
             "stop_word_ratio": F.col("n_stop_words") / n,
         }
-    ).drop("_text", "_words", "_lines")
+    ).drop("_text", "_spaced", "_parts", "_words", "_lines", "_windows")
 
 
 def compiled(rules: tuple[Rule, ...] = RULES) -> dict[str, Column]:

@@ -49,10 +49,9 @@ LOOKALIKES = {
 # Digits and signs that stand for letters inside words.
 STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
 
-_FOLD = str.maketrans({**LOOKALIKES, "l": "i"})
+_LOOK = {ord(a): b for a, b in LOOKALIKES.items()}
 _MARKS = re.compile("[̀-ͯ​-‏⁠﻿]+")
-_BESIDE = re.compile(r"(?<=[a-z])[0134578@$]|[0134578@$](?=[a-z])")
-_BETWEEN = re.compile(r"(?<=[a-z])[!|](?=[a-z])")
+_SIGNED = re.compile(r"[0134578@$!|]+")
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -63,11 +62,23 @@ def fold(text: str | None) -> list[str]:
     flat = text.lower()
     if not flat.isascii():
         flat = _MARKS.sub("", unicodedata.normalize("NFKD", flat))
-    flat = flat.translate(_FOLD)
-    flat = _BETWEEN.sub("i", flat)
-    for _ in range(2):  # a run of digits is reached from both of its ends
-        flat = _BESIDE.sub(lambda m: STAND_INS[m.group()], flat)
-    return _WORD.findall(flat)
+        if not flat.isascii():
+            flat = flat.translate(_LOOK)
+    return _WORD.findall(_SIGNED.sub(_unsign, flat).replace("l", "i"))
+
+
+def _unsign(m: re.Match) -> str:
+    """A run of digits and signs as letters, where it stands in a word."""
+    text, run = m.string, m.group()
+    before = m.start() > 0 and text[m.start() - 1].isalpha()
+    after = m.end() < len(text) and text[m.end()].isalpha()
+    if not (before or after):
+        return run
+    if "!" in run or "|" in run:  # letters only between letters
+        if not (before and after):
+            return run
+        run = run.replace("!", "i").replace("|", "i")
+    return "".join([STAND_INS.get(c, c) for c in run])
 
 
 def _terms(words: Sequence[str]) -> set[str]:
