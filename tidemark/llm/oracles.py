@@ -118,3 +118,47 @@ with usable as (
 )
 select query_id, place::integer as rank, vec_id, score from ranked where place <= 5
 """
+
+SQL["op7_setsketch"] = rf"""
+with recursive worded as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), shingled as (
+    select doc_id, case when len(w) = 0 then [] when len(w) = 1 then [w[1]]
+           else list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s
+    from worded
+), items as (
+    select doc_id, unnest(s) as item from shingled
+), sizes as (
+    select doc_id, len(s) as n from shingled
+), numbered as (
+    select item, row_number() over (order by count(*), item) as place from items group by item
+), ordered as (
+    select doc_id, item, place, row_number() over (partition by doc_id order by place) as rank
+    from items join numbered using (item)
+), prefixes as (
+    -- two sets that alike share one of their (n - ceil(0.8 n) + 1) rarest items
+    select doc_id, item, n from ordered join sizes using (doc_id) where rank <= n - (4 * n + 4) // 5 + 1
+), candidates as (
+    select distinct a.doc_id as x, b.doc_id as y
+    from prefixes a join prefixes b on a.item = b.item and a.doc_id < b.doc_id
+    where 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), links as (
+    select x, y
+    from (select c.x, c.y, count(*) as shared from candidates c
+          join items a on a.doc_id = c.x join items b on b.doc_id = c.y and b.item = a.item
+          group by c.x, c.y)
+    join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+    where 100 * shared >= 80 * (p.n + q.n - shared)
+), steps as (
+    select x as u, y as v from links union select y, x from links
+), reach as (
+    select u, v from steps union select r.u, s.v from reach r join steps s on r.v = s.u
+), least_of as (
+    select u, min(v) as m from reach group by u
+)
+select s.doc_id, s.n::bigint as n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) as component_id,
+       s.doc_id = least(s.doc_id, coalesce(m, s.doc_id)) as kept
+from sizes s left join least_of on u = s.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, language, mixing, quality, topk, toxicity
+from tidemark.llm import bpe, language, mixing, quality, setsketch, topk, toxicity
 from tidemark.llm.common import held_out, table
 from tidemark.llm.oracles import SQL
 
@@ -90,3 +90,8 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=2)
