@@ -162,3 +162,32 @@ select s.doc_id, s.n::bigint as n_shingles, least(s.doc_id, coalesce(m, s.doc_id
        s.doc_id = least(s.doc_id, coalesce(m, s.doc_id)) as kept
 from sizes s left join least_of on u = s.doc_id
 """
+
+SQL["op9_suffix_dedup"] = """
+with raw as (
+    select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n
+    from documents
+), windows as (
+    select doc_id, p, md5_number(substr(h, (2 * p + 1)::bigint, 200)) as w
+    from (select doc_id, h, unnest(range(0, n - 99)) as p from raw where n >= 100)
+), marked as (
+    select doc_id, p, row_number() over (partition by w order by doc_id, p) as place from windows
+), again as (
+    select doc_id, p, lag(p) over (partition by doc_id order by p) as before from marked where place > 1
+), islands as (
+    select doc_id, p, sum(case when before is null or p - before > 100 then 1 else 0 end)
+           over (partition by doc_id order by p) as island
+    from again
+), spans as (
+    select doc_id, min(p) as a, max(p) + 100 as b from islands group by doc_id, island
+), pieces as (
+    select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) as gap from spans
+), cuts as (
+    select doc_id, sum(b - a)::bigint as removed, count(*) as n_spans, max(b) as tail,
+           string_agg(substr(h, (2 * gap + 1)::bigint, (2 * (a - gap))::bigint), '' order by a) as head
+    from pieces join raw using (doc_id) group by doc_id
+)
+select doc_id, n::bigint as n_bytes, coalesce(removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, (2 * coalesce(tail, 0) + 1)::bigint))) as kept_sha256
+from raw left join cuts using (doc_id)
+"""

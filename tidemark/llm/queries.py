@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, language, mixing, quality, setsketch, topk, toxicity
+from tidemark.llm import bpe, language, mixing, quality, setsketch, suffix_dedup, topk, toxicity
 from tidemark.llm.common import held_out, table
 from tidemark.llm.oracles import SQL
 
@@ -95,3 +95,15 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
