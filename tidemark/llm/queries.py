@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, language, mixing, quality, setsketch, suffix_dedup, topk, toxicity
+from tidemark.llm import bpe, language, mixing, pii, quality, setsketch, suffix_dedup, topk, toxicity
 from tidemark.llm.common import held_out, table
 from tidemark.llm.oracles import SQL
 
@@ -107,3 +107,16 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(pii.scan(table(spark, sf_dir, "documents")))
+    count = lambda k: F.size(F.filter("base", lambda s: s["rank"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
