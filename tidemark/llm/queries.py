@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, language, mixing, pii, quality, setsketch, suffix_dedup, topk, toxicity
+from tidemark.llm import bpe, language, license_scan, mixing, pii, quality, setsketch, suffix_dedup, topk, toxicity
 from tidemark.llm.common import held_out, table
 from tidemark.llm.oracles import SQL
 
@@ -120,3 +120,16 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.spelled(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanner = license_scan.train(spark, docs)
+    return license_scan.scan(docs, scanner).select(
+        "doc_id",
+        F.size("verdicts").cast("long").alias("n_cue_paragraphs"),
+        F.size(F.filter("verdicts", lambda v: v["confirmed"])).cast("long").alias("n_licences"),
+        "family",
+        F.array_join("families", ",").alias("families"),
+    )
