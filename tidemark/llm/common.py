@@ -55,3 +55,10 @@ def occurrences(text: Column, characters: str) -> Column:
 def held_out(doc_id: Column) -> Column:
     """The third of the rows that no classifier may learn from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
+
+
+def tokenizer() -> tuple[str, str]:
+    """Path of the public vocabulary and the pattern that splits texts."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN

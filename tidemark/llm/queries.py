@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from tidemark.llm import bpe, language, license_scan, mixing, pii, quality, setsketch, suffix_dedup, topk, toxicity
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import held_out, table, tokenizer
 from tidemark.llm.oracles import SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,13 +22,6 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
-def tokenizer() -> tuple[str, str]:
-    """Path of the vocabulary and the pattern that splits texts."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-
-
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -133,3 +127,8 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "family",
         F.array_join("families", ",").alias("families"),
     )
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

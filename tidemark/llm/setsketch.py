@@ -133,7 +133,7 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.nda
 
 
 def sketch(docs: DataFrame, words: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, set_key, registers) of every row; no key for empty sets."""
+    """(doc_id, text_hash, n_shingles, set_key, registers) of every row; no key for empty sets."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
@@ -144,16 +144,26 @@ def sketch(docs: DataFrame, words: int, text_col: str = "text", id_col: str = "d
                 rows = registers(sets)
                 yield pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"].to_numpy(),
+                        "name": part["name"],
+                        "text_hash": part["text_hash"],
                         "n_shingles": [len(s) for s in sets],
                         "set_key": [_digest(s) for s in sets],
                         "registers": [r.tobytes() if len(s) else None for r, s in zip(rows, sets)],
                     }
                 )
 
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return given.mapInPandas(
-        run, "doc_id long, n_shingles long, set_key binary, registers binary"
+    given = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text_col)).alias("text_hash"),
+        # null ids travel as null, not as numbers with a fraction
+        F.col(id_col).cast("string").alias("name"),
+        F.col(text_col).alias("text"),
+    ).drop("doc_id")
+    out = given.mapInPandas(
+        run, "name string, text_hash long, n_shingles long, set_key binary, registers binary"
+    )
+    return out.select(
+        F.col("name").cast("long").alias("doc_id"), "text_hash", "n_shingles", "set_key", "registers"
     )
 
 
@@ -239,6 +249,26 @@ def near_duplicates(
     docs: DataFrame, words: int = 5, text_col: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
+    return _judged(docs, words, text_col, id_col).drop("text_hash")
+
+
+def deduplicate(
+    docs: DataFrame, words: int = 5, text_col: str = "text", id_col: str = "doc_id"
+) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group, and one of each repeated row."""
+    kept = (
+        _judged(docs, words, text_col, id_col)
+        .filter("kept")
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_key"))
+        .distinct()
+    )
+    key = F.xxhash64(F.col(text_col))
+    rows = docs.withColumns({"_doc": F.col(id_col).cast("long"), "_hash": key})
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["_doc", "_hash"]).drop("_doc", "_hash")
+
+
+def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFrame:
     spark = docs.sparkSession
     sketched = stored(sketch(docs, words, text_col, id_col), "sketches")
     classes = (
@@ -285,9 +315,9 @@ def near_duplicates(
     )
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
-        sketched.select("doc_id", "n_shingles", "set_key")
+        sketched.select("doc_id", "text_hash", "n_shingles", "set_key")
         .join(known, "set_key", "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
+        .select("doc_id", "text_hash", "n_shingles", own.alias("component_id"))
         .withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
     )
 
