@@ -45,11 +45,7 @@ _SETTLED = 2
 
 @dataclass
 class Stretch:
-    """An encoded stretch of a text.
-
-    ``starts`` lists the places of pieces from either end of the stretch that are
-    known so far; see :meth:`Codec.starts`.
-    """
+    """An encoded stretch of a text, with the places where its pieces start."""
 
     text: str
     ids: list[int]
@@ -114,7 +110,9 @@ class Codec:
             if met >= 0:
                 break
             reach *= 2
-        middle = self._encode(window[: len(tail) + met])
+        # piece by piece: what follows the last one must not be forgotten
+        ends = [*pieces[1:], len(tail) + met]
+        middle = [i for s, e in zip(pieces, ends) for i in self._encode(window[s:e])]
         k = bisect_left(b.starts, met)
         heads = b.starts[:k] + [met]
         dropped_right = sum(len(self._encode(b.text[s:e])) for s, e in zip(heads, heads[1:]))
