@@ -33,7 +33,7 @@ def odd(spark):
     return df.withColumns({c: F.lit("mine") for c in EXTRA})
 
 
-LABELS = [(i, i % 2, i % 2) for i in (1, 2, 3, 4, None)]
+LABELS = [(1, 0, 0), (2, 1, 1), (3, 0, 0), (4, 1, 1), (None, 1, 1)]
 
 
 def run_all(spark, docs):

@@ -302,12 +302,12 @@ def redact(
     docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", settings: Settings = Settings()
 ) -> DataFrame:
     """``docs`` with every base and discovered entity replaced in the text."""
-    spans = with_spans(scan(docs, text_col, id_col), settings).select(
-        F.col("doc_id").alias("_id"), F.col("_h").alias("_key"), "spans"
+    found = with_spans(scan(docs, text_col, id_col), settings).select(
+        F.col("doc_id").alias("_id"), F.col("_h").alias("_key"), F.col("spans").alias("_spans")
     )
     # rows without any entity need no partner; repeated rows have the same spans
-    spans = spans.filter(F.size("spans") > 0).dropDuplicates(["_id", "_key"])
+    found = found.filter(F.size("_spans") > 0).dropDuplicates(["_id", "_key"])
     text = F.coalesce(F.col(text_col), F.lit(""))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    new = F.when(F.col("spans").isNull(), F.col(text_col)).otherwise(redacted(text, F.col("spans")))
-    return docs.join(spans, same, "left").withColumn(text_col, new).drop("_id", "_key", "spans")
+    new = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(redacted(text, F.col("_spans")))
+    return docs.join(found, same, "left").withColumn(text_col, new).drop("_id", "_key", "_spans")
