@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import joins
 from tidemark.operators.history import backdate_first
+from tidemark.operators.merge import merge_upsert
 
 
 def _plan(df):
@@ -44,11 +45,41 @@ def test_lookup_keeps_null_and_unknown_keys_and_renames(spark):
     assert rows(got) == sorted([(1, "a", 7), (2, None, None), (3, "zz", None), (4, None, None)], key=repr)
 
 
-def test_null_keys_are_spread_over_partitions(spark):
-    fact = spark.range(4000).select("id", F.lit(None).cast("string").alias("k"))
-    keyed = fact.select(joins._scattered(F.col("k"), "id").alias("p")).repartition(8, "p")
-    sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 1000
+def test_null_keys_are_spread_over_partitions(spark, folder, shuffled_joins):
+    fact = spark.range(0, 4000, 1, 8).select(
+        "id", F.lit(None).cast("string").alias("k"), F.current_timestamp().alias("at")
+    )
+    dim = people(spark).withColumn("effective_valid_from", F.current_timestamp()).withColumn(
+        "valid_to", F.lit(None).cast("timestamp")
+    )
+    for name, got in {
+        "lookup": joins.lookup_join(fact, dim, "k", "pid", ["tag"]),
+        "asof": joins.asof_join(fact, dim, "k", "pid", "at", ["tag"]),
+        "orphans": joins.orphans(fact, dim, "k", "pid"),
+        "upsert": merge_upsert(fact.select("id", "k"), people(spark).select(F.col("tag").alias("id"), F.col("pid").alias("k")), ["k"]).filter("k is null"),
+    }.items():
+        got.withColumn("part", F.spark_partition_id()).write.parquet(f"{folder}/{name}")
+        parts = spark.read.parquet(f"{folder}/{name}").groupBy("part").count().collect()
+        sizes = [r["count"] for r in parts]
+        assert sum(sizes) == 4000 and max(sizes) < 1000, name
+
+
+def test_mixed_key_types_match_by_value(spark):
+    fact = spark.range(6).select("id", F.col("id").cast("int").alias("k"))
+    for kind in ("double", "decimal(10,2)", "bigint", "string"):
+        dim = spark.range(4).select(F.col("id").cast("int").cast(kind).alias("k"), (F.col("id") * 10).alias("v"))
+        got = joins.lookup_join(fact, dim, "k", "k", ["v"], hot=[("2", 3)])
+        assert {r.id: r.v for r in got.collect()} == {0: 0, 1: 10, 2: 20, 3: 30, 4: None, 5: None}, kind
+        assert sorted(r.id for r in joins.orphans(fact, dim, "k", "k").collect()) == [4, 5], kind
+
+
+def test_unknown_roles_are_spread(spark, folder, shuffled_joins):
+    fact = spark.range(0, 4000, 1, 8).select(F.lit("odd").alias("role"), F.col("id").alias("a"), F.col("id").alias("b"))
+    found = spark.range(5).select("id", F.lit(True).alias("_found"))
+    got = joins.role_join(fact, found, "role", {"x": "a"}, "id", ["_found"], spread_by=fact.columns)
+    got.withColumn("part", F.spark_partition_id()).write.parquet(f"{folder}/roles")
+    sizes = [r["count"] for r in spark.read.parquet(f"{folder}/roles").groupBy("part").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1000
 
 
 def test_lookup_reads_only_needed_columns(spark, folder):
@@ -73,11 +104,13 @@ def test_asof_never_multiplies_and_is_half_open(spark):
 
 
 def test_hot_keys_are_bounded_and_sized(spark):
-    fact = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 3000).cast("string")).alias("k"))
-    assert joins.hot_keys(fact, "k", share=1 / 90, small=10) == [("hot", 30)]
-    assert joins.hot_keys(fact, "k") == []
-    nulls = spark.range(1000).select(F.lit(None).cast("string").alias("k"))
-    assert joins.hot_keys(nulls, "k", small=10) == []
+    fact = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 3000).cast("string")).alias("k"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    assert joins.hot_keys(fact, {"k": "k", "none": "none"}, width=90) == {"k": [("hot", 30)], "none": []}
+    assert joins.hot_keys(fact, {"k": "k"}) == {"k": [("hot", 2)]}  # a third of the rows, 8 partitions
+    assert joins.hot_keys(fact.limit(0), {"k": "k"}) == {"k": []}
 
 
 @pytest.fixture()
@@ -105,7 +138,7 @@ def test_hot_key_is_sliced_and_the_result_stays_whole(spark, folder, shuffled_jo
         F.lit("2024-01-01").cast("timestamp").alias("effective_valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
     )
-    hot = joins.hot_keys(fact, "k", share=1 / 90, small=10)
+    hot = joins.hot_keys(fact, {"k": "k"}, width=90)["k"]
     for name, got in {
         "asof": joins.asof_join(fact, dim, "k", "k", "at", ["v"], hot=hot),
         "lookup": joins.lookup_join(fact, dim, "k", "k", ["v"], hot=hot),

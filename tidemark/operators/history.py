@@ -58,8 +58,11 @@ def scd2_apply(
     current = history.filter(F.col("valid_to").isNull())
     old = current.select(*[F.col(c).alias(f"old_{c}") for c in had], F.lit(True).alias("has_old"))
     new = fresh.select(*[F.col(c).alias(f"new_{c}") for c in has], F.lit(True).alias("has_new"))
+    # rows without a key match nothing: a second condition spreads them out
     same_key = [F.col(f"old_{k}") == F.col(f"new_{k}") for k in keys]
-    pairs = old.join(new, same_key, "full")
+    old = old.withColumn("old__slice", _slice_of([f"old_{k}" for k in keys], old.columns))
+    new = new.withColumn("new__slice", _slice_of([f"new_{k}" for k in keys], new.columns))
+    pairs = old.join(new, [*same_key, F.col("old__slice") == F.col("new__slice")], "full")
 
     def stored(side: str, c: str, present: Sequence[str]) -> Column:
         return F.col(f"{side}_{c}") if c in present else F.lit(None)
@@ -85,6 +88,14 @@ def scd2_apply(
     return closed.unionByName(staged.select(*out), allowMissingColumns=True)
 
 
+def _slice_of(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    some = F.pmod(F.xxhash64(*columns), F.lit(1 << 20)).cast("int")
+    return F.when(missing, some).otherwise(0)
+
+
 def backdate_first(
     history: DataFrame, key: str, from_col: str = "valid_from", floor_ts: str = FLOOR
 ) -> DataFrame:
@@ -94,8 +105,16 @@ def backdate_first(
     hold all versions of one key. Two versions of a key that share the earliest
     start are malformed and show up in :func:`overlaps`.
     """
-    first = history.groupBy(F.col(key).alias("_key")).agg(F.min(from_col).alias("_first"))
-    dated = history.join(first, F.col(key).eqNullSafe(F.col("_key")), "left")
+    first = (
+        history.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.min(from_col).alias("_first"), F.lit(0).alias("_first_slice"))
+    )
+    # versions without a key belong to no entity: each is its own first
+    sliced = history.withColumn("_slice", _slice_of([key], history.columns))
+    match = (F.col(key) == F.col("_key")) & (F.col("_slice") == F.col("_first_slice"))
+    dated = sliced.join(first, match, "left").drop("_slice", "_first_slice")
+    dated = dated.withColumn("_first", F.coalesce("_first", F.when(F.col(key).isNull(), F.col(from_col))))
     start = F.when(F.col(from_col) == F.col("_first"), _instant(floor_ts)).otherwise(F.col(from_col))
     return dated.withColumn("effective_valid_from", start).drop("_key", "_first")
 

@@ -2,23 +2,25 @@
 
 No join here carries a broadcast hint except those on the date dimension, whose
 size is its number of days, and on a list of hot keys, whose length is bounded by
-arithmetic. For the others Spark decides from file sizes, or at run time from the
-measured size of the shuffled side. Rows whose key is NULL can match nothing and
-are scattered. A key that holds a large share of the fact is cut into slices:
-find such keys with :func:`hot_keys` and pass them as ``hot``.
+the shuffle width. For the others Spark decides from file sizes, or at run time
+from the measured size of the shuffled side. Keys are compared as what they are;
+only a text key against another type is compared as text. A second integer
+condition carries the distribution: rows whose key is NULL, which can match
+nothing, are scattered by it, and a key that holds more than a shuffle
+partition's share of the fact is cut into slices. Find such keys with
+:func:`hot_keys` and pass them as ``hot``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tidemark.operators.history import CEILING
 
 MAX_BROADCAST_DAYS = 200_000
-HOT_SHARE = 1 / 2000
-SMALL_FACT = 5_000_000
+NULL_SLICES = 1 << 20
 
 HotKeys = Sequence[tuple[str, int]]
 
@@ -35,67 +37,107 @@ def _named(cols: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
 
 
-def _scattered(key: Column, spread_by: str) -> Column:
-    """The key as text; a NULL becomes a text that varies with ``spread_by``.
+def scattered(key: Column, spread: Sequence[str]) -> Column:
+    """Slice 0 for a key, some slice for a NULL: the second join condition.
 
-    Only that one column is touched, so unused columns of the fact still get
-    pruned, and the text stays the same when a lost task runs again.
+    Only the columns in ``spread`` are read for it, and the number stays the same
+    when a lost task runs again.
     """
-    filler = F.concat(F.lit("\u0000"), F.xxhash64(spread_by).cast("string"))
-    return F.coalesce(key.cast("string"), filler)
+    some = F.pmod(F.xxhash64(*spread), F.lit(NULL_SLICES)).cast("int")
+    return F.when(key.isNull(), some).otherwise(F.lit(0))
+
+
+def width_of(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_keys(
-    fact: DataFrame,
-    key: str | Column,
-    share: float = HOT_SHARE,
-    small: int = SMALL_FACT,
-) -> HotKeys:
-    """[(key text, slices)] of the keys holding at least ``share`` of the rows.
-
-    There can be no more than ``1 / share`` of them, so they fit the driver. A
-    key gets one slice per ``share`` it holds. Facts under ``small`` rows have none.
-    Run it on a stored table: it reads the key column once.
+    fact: DataFrame, keys: Mapping[str, str | Column], width: int | None = None
+) -> dict[str, HotKeys]:
+    """For every name in ``keys``: [(key text, slices)] of its overfull keys.
+
+    A key is overfull when it holds more than one of ``width`` shuffle partitions'
+    share of the rows (the session's width unless given). There are fewer than
+    ``width`` such keys per name, so those with the most rows are all that is
+    fetched. One job over a stored fact serves all names and counts its rows too.
     """
-    total = fact.count()
-    if total < small:
-        return []
-    column = F.col(key) if isinstance(key, str) else key
-    least = total * share
-    found = (
-        fact.select(column.cast("string").alias("key"))
-        .filter(F.col("key").isNotNull())
-        .groupBy("key")
+    width = width or width_of(fact)
+    rows = Observation("fact rows")
+    columns = {n: F.col(k) if isinstance(k, str) else k for n, k in keys.items()}
+    pairs = F.array(
+        *[F.struct(F.lit(n).alias("name"), c.cast("string").alias("key")) for n, c in columns.items()]
+    )
+    top = (
+        fact.observe(rows, F.count(F.lit(1)).alias("n"))
+        .select(F.explode(pairs).alias("p"))
+        .filter(F.col("p.key").isNotNull())
+        .groupBy("p.name", "p.key")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= least)
+        .orderBy(F.col("n").desc(), "name", "key")
+        .limit(width * len(columns))
         .collect()
     )
-    return [(r.key, max(2, int(r.n / least))) for r in found]
+    out: dict[str, list] = {n: [] for n in columns}
+    if not top:  # of an empty plan nothing is observed
+        return out
+    share = rows.get["n"] / width
+    for r in top:
+        if r.n > share:
+            out[r.name].append((r.key, max(2, int(r.n / share))))
+    return out
 
 
-def _slice(
-    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: HotKeys, spread_by: str
-) -> tuple[DataFrame, DataFrame, Column]:
-    """Number the slices of hot keys: fact rows get one, dimension rows all.
+def _text(key: Column) -> Column:
+    return key.cast("string")
 
-    Returns both sides and the extra join condition.
-    """
-    if not hot:
-        return fact, dim, F.lit(True)
-    listed = fact.sparkSession.createDataFrame(list(hot), "_hot string, _slices int")
 
-    def sliced(df: DataFrame, key: str) -> DataFrame:
-        return df.join(F.broadcast(listed), F.col(key).cast("string") == F.col("_hot"), "left")
+def _comparable(fact: DataFrame, dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides' keys (``key``, ``_dim_0``), as text when just one of them is text."""
+    kinds = {isinstance(f.schema[c].dataType, T.StringType) for f, c in ((fact, key), (dim, "_dim_0"))}
+    if len(kinds) == 1:
+        return fact, dim
+    return fact.withColumn(key, _text(F.col(key))), dim.withColumn("_dim_0", _text(F.col("_dim_0")))
 
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    one = F.pmod(F.xxhash64(spread_by), slices).cast("int")
-    left = sliced(fact, fact_key).withColumn("_fact_slice", one).drop("_hot", "_slices")
-    every = F.explode(F.sequence(F.lit(0), slices - 1))
-    right = sliced(dim, dim_key).withColumn("_dim_slice", every).drop("_hot", "_slices")
-    return left, right, F.col("_fact_slice") == F.col("_dim_slice")
 
+def _slice(
+    fact: DataFrame, dim: DataFrame, key: str, hot: HotKeys, spread: Sequence[str]
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Number the slices of hot keys: fact rows get one, dimension rows all.
 
-_HELPERS = ("_fact_key", "_probe", "_dim_0", "_fact_slice", "_dim_slice", "_starts", "_ends")
+    Returns both sides and the whole join condition. The listed keys are turned
+    back into the fact's type, so both sides find them by the same equality as
+    the join itself.
+    """
+    fact, dim = _comparable(fact, dim, key)
+    fact = fact.withColumn("_fact_slice", scattered(F.col(key), spread))
+    dim = dim.withColumn("_dim_slice", F.lit(0))
+    if hot:
+        kind = fact.schema[key].dataType
+        listed = fact.sparkSession.createDataFrame(list(hot), "_hot string, _slices int")
+        listed = F.broadcast(listed.withColumn("_hot", F.col("_hot").cast(kind)))
+        one = F.pmod(F.xxhash64(*spread), F.col("_slices")).cast("int")
+        fact = (
+            fact.join(listed, F.col(key) == F.col("_hot"), "left")
+            .withColumn("_fact_slice", F.coalesce(one, F.col("_fact_slice")))
+            .drop("_hot", "_slices")
+        )
+        every = F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1))
+        dim = (
+            dim.join(listed, F.col("_dim_0") == F.col("_hot"), "left")
+            .withColumn("_dim_slice", every)
+            .drop("_hot", "_slices")
+        )
+    match = (F.col(key) == F.col("_dim_0")) & (F.col("_fact_slice") == F.col("_dim_slice"))
+    return fact, dim, match
+
+
+_HELPERS = ("_fact_key", "_dim_0", "_fact_slice", "_dim_slice", "_starts", "_ends")
+
+
+def _spread(fact: DataFrame, spread_by: str | Sequence[str] | None) -> list[str]:
+    if spread_by is None:
+        return fact.columns[:1]
+    return [spread_by] if isinstance(spread_by, str) else list(spread_by)
 
 
 def lookup_join(
@@ -104,21 +146,19 @@ def lookup_join(
     fact_key: str | Column,
     dim_key: str,
     cols: Sequence[str] | Mapping[str, str],
-    spread_by: str | None = None,
+    spread_by: str | Sequence[str] | None = None,
     hot: HotKeys = (),
 ) -> DataFrame:
-    """Left join on one text key, adding ``cols`` of ``dim`` (optionally renamed).
+    """Left join on one key, adding ``cols`` of ``dim`` (optionally renamed).
 
-    ``spread_by`` is a column that varies between the fact's rows, by default
+    ``spread_by`` names columns that vary between the fact's rows, by default
     its first one, the identifier in all tables here.
     """
     key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    spread = spread_by or fact.columns[0]
-    keyed = fact.withColumns({"_fact_key": key, "_probe": _scattered(key, spread)})
+    keyed = fact.withColumn("_fact_key", key)
     side = _pick(dim, [dim_key], _named(cols))
-    keyed, side, same_slice = _slice(keyed, side, "_probe", "_dim_0", hot, spread)
-    match = (F.col("_probe") == F.col("_dim_0").cast("string")) & F.col("_fact_key").isNotNull()
-    return keyed.join(side, match & same_slice, "left").drop(*_HELPERS)
+    keyed, side, match = _slice(keyed, side, "_fact_key", hot, _spread(fact, spread_by))
+    return keyed.join(side, match, "left").drop(*_HELPERS)
 
 
 def current_join(
@@ -150,13 +190,14 @@ def role_join(
     dim_key: str,
     cols: Sequence[str] | Mapping[str, str],
     hot: HotKeys = (),
+    spread_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join where ``roles[role value]`` names the fact column to match.
 
     One key expression instead of an OR of conditions keeps it an equality join.
     A role outside ``roles`` has no key and matches nothing.
     """
-    return lookup_join(fact, dim, role_key(role_col, roles), dim_key, cols, hot=hot)
+    return lookup_join(fact, dim, role_key(role_col, roles), dim_key, cols, spread_by, hot)
 
 
 def asof_join(
@@ -168,7 +209,7 @@ def asof_join(
     cols: Sequence[str] | Mapping[str, str],
     from_col: str = "effective_valid_from",
     to_col: str = "valid_to",
-    spread_by: str | None = None,
+    spread_by: str | Sequence[str] | None = None,
     hot: HotKeys = (),
 ) -> DataFrame:
     """Left join to the version valid at ``fact_ts``; windows are half open."""
@@ -178,11 +219,10 @@ def asof_join(
         F.coalesce(F.col(to_col), F.lit(CEILING).cast("timestamp")).alias("_ends"),
         *[F.col(c).alias(name) for c, name in _named(cols).items()],
     )
-    spread = spread_by or fact.columns[0]
-    keyed, side, same_slice = _slice(fact, side, fact_key, "_dim_0", hot, spread)
+    keyed = fact.withColumn("_fact_key", F.col(fact_key))
+    keyed, side, match = _slice(keyed, side, "_fact_key", hot, _spread(fact, spread_by))
     within = (F.col(fact_ts) >= F.col("_starts")) & (F.col(fact_ts) < F.col("_ends"))
-    match = (F.col(fact_key) == F.col("_dim_0")) & within
-    return keyed.join(side, match & same_slice, "left").drop(*_HELPERS)
+    return keyed.join(side, match & within, "left").drop(*_HELPERS)
 
 
 def date_join(
@@ -204,13 +244,19 @@ def date_join(
 
 
 def orphans(
-    child: DataFrame, parent: DataFrame, fk: str, pk: str, keep_null: bool = True
+    child: DataFrame,
+    parent: DataFrame,
+    fk: str,
+    pk: str,
+    keep_null: bool = True,
+    spread_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Child rows without a parent. ``keep_null`` counts a NULL key as an orphan."""
     rows = child if keep_null else child.filter(F.col(fk).isNotNull())
-    keyed = rows.withColumn("_probe", _scattered(F.col(fk), rows.columns[0]))
-    keys = parent.select(F.col(pk).cast("string").alias("_parent"))
-    return keyed.join(keys, F.col("_probe") == F.col("_parent"), "left_anti").drop("_probe")
+    keyed = rows.withColumn("_fact_key", F.col(fk))
+    keys = parent.select(F.col(pk).alias("_dim_0"))
+    keyed, keys, match = _slice(keyed, keys, "_fact_key", (), _spread(rows, spread_by))
+    return keyed.join(keys, match, "left_anti").select(*rows.columns)
 
 
 def role_violations(
@@ -222,7 +268,8 @@ def role_violations(
     """Rows in which a party named by the role is missing from its dimension.
 
     ``parties`` maps role -> {dimension name: fact column}; ``dims`` maps
-    dimension name -> (frame, key). Roles that are not listed are not judged.
+    dimension name -> (frame, key). Roles that are not listed are not judged; they
+    have no key, and are spread by all columns of the fact.
     """
     out = fact
     names = sorted({n for p in parties.values() for n in p})
@@ -230,7 +277,9 @@ def role_violations(
         dim, key = dims[name]
         found = dim.select(key).dropDuplicates().withColumn("_found", F.lit(True))
         columns = {role: p[name] for role, p in parties.items() if name in p}
-        out = role_join(out, found, role_col, columns, key, {"_found": f"_has_{name}"})
+        out = role_join(
+            out, found, role_col, columns, key, {"_found": f"_has_{name}"}, spread_by=fact.columns
+        )
     missing = F.lit(False)
     for role, wanted in parties.items():
         absent = F.lit(False)

@@ -33,7 +33,7 @@ def merge_upsert(
             .select(*batch_cols)
         )
     columns = batch.columns if sync_schema else target.columns
-    untouched = target.join(batch.select(*keys), keys, "left_anti")
+    untouched = _unmatched(target, batch, keys)
     if sync_schema:
         untouched = _retyped(untouched, batch)
     else:
@@ -41,6 +41,20 @@ def merge_upsert(
     return untouched.unionByName(batch, allowMissingColumns=True).select(*columns)
 
 
+def _unmatched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is not in ``batch``; rows with a NULL key are spread out."""
+    some = F.pmod(F.xxhash64(*target.columns), F.lit(1 << 20)).cast("int")
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    rows = target.withColumn("_slice", F.when(missing, some).otherwise(0))
+    known = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys], F.lit(0).alias("_new_slice"))
+    match = F.col("_slice") == F.col("_new_slice")
+    for k in keys:
+        match = match & (F.col(k) == F.col(f"_new_{k}"))
+    return rows.join(known, match, "left_anti").drop("_slice")
+
+
 def _retyped(df: DataFrame, like: DataFrame) -> DataFrame:
     """Shared columns in the types of ``like``; a value that does not fit is NULL."""
     wanted = {f.name: f.dataType for f in like.schema}

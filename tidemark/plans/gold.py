@@ -91,20 +91,23 @@ REVIEW_GUEST = {"guest_to_host": "reviewer_id", "host_to_guest": "reviewee_id"}
 
 def booking_hot_keys(bookings: DataFrame) -> dict[str, HotKeys]:
     """Overfull join keys of stored silver bookings, for ``fct_bookings(hot=...)``."""
-    return {k: hot_keys(bookings, k) for k in ("listing_id", "host_id", "guest_id")}
+    return hot_keys(bookings, {k: k for k in ("listing_id", "host_id", "guest_id")})
 
 
 def review_hot_keys(reviews: DataFrame) -> dict[str, HotKeys]:
-    return {
-        "booking_id_clean": hot_keys(reviews, "booking_id_clean"),
-        "listing_id": hot_keys(reviews, "listing_id"),
-        "host_id": hot_keys(reviews, role_key("review_type", REVIEW_HOST)),
-        "guest_id": hot_keys(reviews, role_key("review_type", REVIEW_GUEST)),
-    }
+    return hot_keys(
+        reviews,
+        {
+            "booking_id_clean": "booking_id_clean",
+            "listing_id": "listing_id",
+            "host_id": role_key("review_type", REVIEW_HOST),
+            "guest_id": role_key("review_type", REVIEW_GUEST),
+        },
+    )
 
 
 def event_hot_keys(events: DataFrame) -> dict[str, HotKeys]:
-    return {k: hot_keys(events, k) for k in ("listing_id", "guest_id")}
+    return hot_keys(events, {k: k for k in ("listing_id", "guest_id")})
 
 
 def fct_bookings(

@@ -134,7 +134,7 @@ class Warehouse:
         self._rebuild(
             "gold_fct_sessions", gold.fct_sessions(events, listings, guests, dates, days, hot)
         )
-        hot = {"guest_key": hot_keys(facts, "guest_key")}
+        hot = hot_keys(facts, {"guest_key": "guest_key"})
         self._rebuild(
             "gold_obt_bookings", gold.obt_bookings(facts, guests, dates, days=days, hot=hot)
         )
