@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data"
 # one-row counts beside each other
 ONE_ROW_CROSS = {"reconcile", "dq_report"}
 # these run jobs while they are built; their result is a plain table scan
-EAGER = {"land_scan", "land_prune", "raw_lineage", "bad_records", "incr_sink", "stream_ingest", "stream_upsert"}
+EAGER = {"land_scan", "land_prune", "raw_lineage", "bad_records", "incr_sink", "stream_ingest", "stream_upsert", "raw_incremental", "load_history"}
 
 
 def plan_of(df):

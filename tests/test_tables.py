@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.history import scd2_apply
 from tidemark.sources.tables import ConcurrentPublish, PublishedTable
 
 FIRST = datetime(2000, 1, 1, tzinfo=timezone.utc)
@@ -102,3 +103,64 @@ def test_vacuum_keeps_what_is_in_use(spark, folder):
         t.merge(batch(spark, 0, 50, tag))
     assert t.vacuum(keep=1) == 3
     assert {r.v for r in t.read().collect()} == {"d"} and len(os.listdir(f"{folder}/t/data")) == 1
+
+
+def test_a_removed_column_comes_back_empty(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t", ["k"], 8)
+    full = spark.range(100).select(F.col("id").alias("k"), F.lit("old").alias("c"))
+    t.merge(full)
+    t.merge(full.filter("k = 1").drop("c"))
+    t.merge(full.filter("k = 2"))
+    assert t.read().filter("c is not null").count() == 1
+    t.merge(full.filter("k = 1").drop("c"))
+    t.merge(full.filter("k = 3").withColumn("c", F.lit(7)))
+    assert [r.k for r in t.read().filter("c = 7").collect()] == [3] and t.read().count() == 100
+
+
+def test_batches_are_counted_per_stream(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t", ["k"], 4)
+    for i in range(3):
+        assert t.merge(batch(spark, i, i + 1, "a"), batch_id=i, source="one")
+    assert t.merge(batch(spark, 10, 11, "b"), batch_id=0, source="two")  # a new checkpoint
+    assert not t.merge(batch(spark, 0, 1, "z"), batch_id=2, source="one")
+    with pytest.raises(ValueError, match="batch 5"):
+        t.merge(batch(spark, 20, 21, "c"), batch_id=5, source="one")
+    assert rows(t.read().select("k")) == [(0,), (1,), (2,), (10,)]
+
+
+def test_a_refused_batch_leaves_no_staging(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t", ["k"], 4)
+    t.merge(batch(spark, 0, 3, "a"))
+    with pytest.raises(ValueError):
+        t.merge(batch(spark, 0, 3, "a").union(batch(spark, 0, 3, "b")))
+    assert os.listdir(f"{folder}/t/_staging") == []
+
+
+def test_history_rolls_open_versions_only(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t")
+    row = lambda k, v: spark.createDataFrame([(k, v)], "k int, v string")
+    now = lambda day: f"2025-01-0{day} 00:00:00"
+    for day, v in ((1, "a"), (2, "b"), (3, "c")):
+        before = (t.manifest() or {"parts": {}})["parts"]
+        t.roll(lambda old: scd2_apply(old, row(1, v), ["k"], ["v"], now(day)), F.col("valid_to").isNull())
+        after = t.manifest()["parts"]
+        assert {p: f for p, f in before.items() if p != "open"}.items() <= after.items()
+    assert sorted(after) == ["closed2", "closed3", "open"]
+    assert [r.v for r in t.read().orderBy("valid_from").collect()] == ["a", "b", "c"]
+    assert t.read(["open"]).count() == 1
+
+
+def test_a_month_is_read_alone(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t", part_by=F.date_format("day", "yyyy-MM"))
+    t.overwrite(spark.sql("select explode(sequence(date'2024-01-01', date'2024-04-30')) as day union all select null"))
+    assert sorted(t.manifest()["parts"]) == ["2024-01", "2024-02", "2024-03", "2024-04", "none"]
+    assert t.read(["2024-02"]).count() == 29 and t.read().count() == 122
+    assert all("2024-02" in f for f in t.read(["2024-02"]).inputFiles())
+
+
+def test_a_half_written_manifest_is_not_read(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t", ["k"], 4)
+    t.merge(batch(spark, 0, 3, "a"))
+    with open(f"{folder}/t/_manifests/0000000002.json", "w") as f:
+        f.write('{"version": 2, "par')
+    assert t.read().count() == 3

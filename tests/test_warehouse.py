@@ -120,6 +120,37 @@ def test_landed_files_stream_into_bronze(spark, folder):
     assert good.count() == 3 and bad.count() == 1
 
 
+def test_raw_is_loaded_once_and_read_by_date(spark, folder):
+    w = Warehouse(spark, f"{folder}/house", buckets=4)
+    host = '{"host_id": "H-%d", "host_name": "ann", "is_superhost": true, "_stream_timestamp": "2025-01-01T00:00:00Z"}'
+
+    def deliver(day, *lines):
+        where = f"{folder}/landing/host/year=2025/month=1/day={day}"
+        os.makedirs(where)
+        with open(f"{where}/part.json", "w") as f:
+            f.write("\n".join(lines))
+
+    deliver(1, host % 1, "{broken")
+    w.load(f"{folder}/landing", f"{folder}/checkpoints", ["hosts"])
+    first = w.raw.read("hosts").select("_loaded_at").collect()
+    assert w.raw.read("hosts").select("_loaded_at").collect() == first
+    w.load(f"{folder}/landing", f"{folder}/checkpoints", ["hosts"])
+    w.load(f"{folder}/landing", f"{folder}/a-new-checkpoint", ["hosts"])  # the log knows the file
+    assert w.raw.read("hosts").count() == 1 and w.raw.bad_lines().count() == 1
+    assert [(r.row_count, r.error_count, r.status) for r in w.raw.log().collect()] == [(2, 1, "Partially loaded")]
+    w.run_bronze()
+    w.run_bronze()
+    deliver(2, host % 2)
+    w.load(f"{folder}/landing", f"{folder}/checkpoints", ["hosts"])
+    w.run_bronze()
+    assert w.read("bronze_hosts").count() == 2
+    assert [tuple(r) for r in w.raw.row_counts().collect()] == [("raw_hosts", 2)]
+    assert [r.status for r in w.raw.freshness(F.current_timestamp()).collect()] == ["pass"]
+    assert w.raw.audit("2020-01-01 00:00:00").count() == 1
+    plan = w.raw.read("hosts", first[0][0])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_date" in plan
+
+
 def test_calendar(spark):
     dates = date_dimension(spark)
     assert dates.count() == 3288

@@ -28,14 +28,32 @@ def freshness(
         )
         for name, df in sources.items()
     ]
+    return _aged(union_all(rows), as_of, warn_hours, error_hours)
+
+
+def freshness_by(
+    loads: DataFrame,
+    name_col: str,
+    as_of: str | datetime | Column,
+    mark_col: str = "_loaded_at",
+    warn_hours: int = 2,
+    error_hours: int = 8,
+) -> DataFrame:
+    """:func:`freshness` of every name that ``loads`` holds, from one grouping."""
+    newest = loads.groupBy(F.col(name_col).alias("source_name")).agg(
+        F.max(F.col(mark_col).cast("timestamp")).alias("max_loaded_at")
+    )
+    return _aged(newest, as_of, warn_hours, error_hours)
+
+
+def _aged(newest: DataFrame, as_of, warn_hours: int, error_hours: int) -> DataFrame:
     age = F.unix_timestamp(_instant(as_of)) - F.unix_timestamp("max_loaded_at")
     status = (
         F.when(F.col("age_seconds").isNull() | (F.col("age_seconds") > error_hours * 3600), "error")
         .when(F.col("age_seconds") > warn_hours * 3600, "warn")
         .otherwise("pass")
     )
-    merged = union_all(rows)
-    return merged.withColumn("age_seconds", age).withColumn("status", status)
+    return newest.withColumn("age_seconds", age).withColumn("status", status)
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

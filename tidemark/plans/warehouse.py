@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,13 +24,21 @@ from tidemark.plans.layers import (
 )
 from tidemark.session import tune
 from tidemark.sources.calendar import END, START, date_dimension
-from tidemark.sources.landing import CORRUPT
+from tidemark.sources.raw import RawStore, stream_id
 from tidemark.sources.schemas import LANDING_FOLDERS, raw_schema
 from tidemark.sources.tables import PublishedTable
-from tidemark.streaming.ingest import stream_landing
+from tidemark.streaming.ingest import load_raw, stream_landing
 
 FIRST_MARK = datetime(2000, 1, 1, tzinfo=timezone.utc)
 SNAPSHOTS = {"hosts": "host_id", "listings": "listing_id"}
+MODEL_THREADS = 4
+# Facts are stored by month of this column; read(buckets=[month]) lists no other.
+MONTH_OF = {
+    "gold_fct_bookings": "check_in_date",
+    "gold_fct_reviews": "reviewed_at",
+    "gold_fct_listing_events": "event_timestamp",
+    "gold_fct_sessions": "session_started_at",
+}
 
 
 class Warehouse:
@@ -45,6 +55,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.calendar = calendar
+        self.raw = RawStore(self.spark, f"{self.root}/raw")
 
     def table(self, model: str) -> PublishedTable:
         layer, _, entity = model.partition("_")
@@ -55,6 +66,7 @@ class Warehouse:
             keys.keys if keys else (),
             self.buckets,
             "_loaded_at" if keys else None,
+            F.date_format(MONTH_OF[model], "yyyy-MM") if model in MONTH_OF else None,
         )
 
     def read(self, model: str) -> DataFrame:
@@ -68,39 +80,75 @@ class Warehouse:
         found = {m: self.table(m).read() for m in MODELS}
         return {m: df for m, df in found.items() if df is not None}
 
-    # ---- layers -------------------------------------------------------------
-    def run_bronze(self, raws: Mapping[str, DataFrame]) -> None:
-        for entity, raw in raws.items():
-            self._increment(f"bronze_{entity}", lambda mark: bronze(entity, raw, mark))
+    # ---- RAW ----------------------------------------------------------------
+    def load(self, root: str, checkpoints: str, entities: Sequence[str] = tuple(BRONZE)) -> None:
+        """Append the files that have landed since the last call to RAW."""
+        running = [
+            load_raw(
+                self.spark,
+                self.raw,
+                entity,
+                f"{root.rstrip('/')}/{LANDING_FOLDERS[entity]}",
+                raw_schema(entity),
+                f"{checkpoints.rstrip('/')}/{entity}",
+            )
+            for entity in entities
+        ]
+        for query in running:
+            query.awaitTermination()
 
     def ingest(
         self, entity: str, root: str, checkpoint: str, interval: str | None = None
     ) -> StreamingQuery:
-        """Stream one entity's landing folder into its bronze table."""
+        """Stream one entity's landing folder into RAW and its bronze table."""
         table = self.table(f"bronze_{entity}")
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
-            raw = batch.filter(F.col(CORRUPT).isNull())
+            source = stream_id(self.spark, checkpoint)
+            good = self.raw.append(entity, batch, f"{source}-{batch_id}")
             columns = [f.name for f in raw_schema(entity)]
-            rows = raw.select(*columns, "_source_file", "_loaded_at")
-            table.merge(BRONZE[entity].latest(rows), batch_id=batch_id)
+            rows = good.select(*columns, "_source_file", "_loaded_at")
+            table.merge(BRONZE[entity].latest(rows), batch_id=batch_id, source=source)
 
         path = f"{root.rstrip('/')}/{LANDING_FOLDERS[entity]}"
         schema = raw_schema(entity)
         return stream_landing(self.spark, path, schema, checkpoint, on_batch, interval)
 
+    # ---- layers -------------------------------------------------------------
+    def run_bronze(self, raws: Mapping[str, DataFrame] | None = None) -> None:
+        """From RAW, above each table's mark; or from given frames."""
+
+        def one(entity: str) -> None:
+            if raws is not None:
+                self._increment(f"bronze_{entity}", lambda mark: bronze(entity, raws[entity], mark))
+            elif self.raw.exists(entity):
+                self._increment(
+                    f"bronze_{entity}",
+                    lambda mark: bronze(entity, self.raw.read(entity, mark), mark),
+                )
+
+        self._together(one, list(BRONZE) if raws is None else list(raws))
+
     def run_silver(self) -> None:
-        for entity in SILVER:
+        def one(entity: str) -> None:
             source = self.table(f"bronze_{entity}").read()
             if source is not None:
                 self._increment(f"silver_{entity}", lambda mark: silver(entity, source, mark))
+
+        self._together(one, list(SILVER))
         bookings = self.read("silver_bookings")
         self._rebuild("quarantine_invalid_bookings", quarantine_invalid_bookings(bookings))
 
     def run_snapshots(self, run_ts: str | datetime) -> None:
-        for entity in SNAPSHOTS:
-            table = self.table(f"{entity}_snapshot")
-            table.overwrite(snapshot(entity, table.read(), self.read(f"silver_{entity}"), run_ts))
+        """Only open versions are read and written; closed ones stay as they are."""
+
+        def one(entity: str) -> None:
+            source = self.read(f"silver_{entity}")
+            self.table(f"{entity}_snapshot").roll(
+                lambda before: snapshot(entity, before, source, run_ts), F.col("valid_to").isNull()
+            )
+
+        self._together(one, list(SNAPSHOTS))
 
     def run_gold(self) -> None:
         self._rebuild("gold_dim_guests", gold.dim_guests(self.read("silver_guests")))
@@ -142,8 +190,8 @@ class Warehouse:
     def report(self, checks: list[Check]) -> DataFrame:
         return run_checks(checks, self.tables())
 
-    def refresh(self, raws: Mapping[str, DataFrame], run_ts: str | datetime) -> None:
-        """One full run. A layer with violations stops everything after it."""
+    def refresh(self, raws: Mapping[str, DataFrame] | None, run_ts: str | datetime) -> None:
+        """One full run, from RAW when ``raws`` is None. A layer with violations stops the rest."""
         self.run_bronze(raws)
         gate(self.report(bronze_checks()))
         self.run_silver()
@@ -153,6 +201,12 @@ class Warehouse:
         gate(self.report(gold_checks()))
 
     # ---- sinks --------------------------------------------------------------
+    def _together(self, step: Callable[[str], None], names: Sequence[str]) -> None:
+        """Run independent models side by side: their small stages share the cluster."""
+        with ThreadPoolExecutor(MODEL_THREADS) as pool:
+            for done in [pool.submit(inheritable_thread_target(self.spark)(step), n) for n in names]:
+                done.result()
+
     def _increment(self, model: str, build) -> None:
         table = self.table(model)
         mark = table.high_water(FIRST_MARK) if table.exists() else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import hashlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,22 +36,41 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediates.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session that
-    leaves the setting out gets a temporary folder of this machine.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting it is
+    below the warehouse, which executors reach as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+_SCRATCH: list[str] = []
 
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to scratch paths; frames over them end here."""
+    while _SCRATCH:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the files below ``folder``, as one digest."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, seen = fs.listFiles(top, True), []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -1,9 +1,11 @@
 """Parquet tables published version by version.
 
-A publish writes new files beside the old ones and then adds one small manifest,
-by rename, that says which folder holds each key bucket. Readers follow the
-newest manifest, so they never see half a write, and a plan may read the table
-it replaces. A merge rewrites only the buckets its batch touches.
+A publish writes new files beside the old ones and then creates one small
+manifest, exclusively, that says which folder holds each part. Readers follow the
+newest whole manifest, so they never see half a write, and a plan may read the
+table it replaces. Parts are hash buckets of the key (a merge rewrites those its
+batch touches), a given column such as a month (``part_by``), or the open and
+closed versions of a history (:meth:`PublishedTable.roll`).
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import json
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.latest import high_water
 from tidemark.operators.merge import merge_upsert, require_unique
@@ -35,7 +37,9 @@ class PublishedTable:
         keys: Sequence[str] = (),
         buckets: int = 64,
         mark_col: str | None = None,
+        part_by: Column | None = None,
     ):
+        self.part_by = part_by
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
@@ -56,10 +60,12 @@ class PublishedTable:
 
     def manifest(self) -> dict | None:
         """The newest manifest, or None before the first publish."""
-        versions = self._manifest_versions()
-        if not versions:
-            return None
-        return self._load(versions[-1])
+        for version in reversed(self._manifest_versions()):
+            try:
+                return self._load(version)
+            except ValueError:  # still being written: the one before holds
+                continue
+        return None
 
     def _manifest_path(self, version: int) -> str:
         return f"{self.path}/_manifests/{version:010d}.json"
@@ -97,40 +103,65 @@ class PublishedTable:
         return datetime.fromisoformat(now["mark"])
 
     # ---- writing ------------------------------------------------------------
-    def overwrite(self, df: DataFrame, batch_id: int | None = None) -> bool:
+    def overwrite(self, df: DataFrame, batch_id: int | None = None, source: str = "") -> bool:
         """Publish ``df`` as the whole table. False when the batch was published before."""
         now = self.manifest()
-        if self._already(now, batch_id):
+        if self._already(now, batch_id, source):
             return False
-        self._publish(df, now, {}, batch_id)
+        self._publish(df, now, {}, batch_id, source)
         return True
 
+    def roll(self, step, open_when: Column) -> None:
+        """Apply ``step`` to the open rows alone and add what it closes.
+
+        ``step`` gets the open rows (None before the first publish) and returns
+        rows of which ``open_when`` stay open. Closed parts are neither read nor
+        written again.
+        """
+        now = self.manifest()
+        before = None if now is None else self._frame(now, ["open"])
+        version = 1 if now is None else now["version"] + 1
+        part = F.when(open_when, F.lit("open")).otherwise(F.lit(f"closed{version}"))
+        kept = {b: p for b, p in (now or {"parts": {}})["parts"].items() if b != "open"}
+        self._publish(step(before), now, kept, None, part=part)
+
     def merge(
-        self, batch: DataFrame, batch_id: int | None = None, order_guard: str | None = None
+        self,
+        batch: DataFrame,
+        batch_id: int | None = None,
+        order_guard: str | None = None,
+        source: str = "",
     ) -> bool:
-        """Upsert ``batch`` by key. False when the batch was published before."""
+        """Upsert ``batch`` by key. False when ``source`` published that batch before.
+
+        Batches are counted per source (a stream's own id), so a new checkpoint
+        begins a count of its own; a gap in a count raises.
+        """
         now = self.manifest()
-        if self._already(now, batch_id):
+        if self._already(now, batch_id, source):
             return False
         if now is None:
-            self._publish(batch, None, {}, batch_id, verify=True)
+            self._publish(batch, None, {}, batch_id, source, verify=True)
             return True
         # The batch is written once: its plan is not run again for the key check,
         # the list of touched buckets and the merge.
         staged_at = f"{self.path}/_staging/{_token(self.spark)}"
-        batch.write.parquet(staged_at)
-        staged = self.spark.read.schema(batch.schema).parquet(staged_at)
-        require_unique(staged, self.keys)
-        # at most `buckets` small integers
-        touched = sorted(r[0] for r in staged.select(self._bucket_of()).distinct().collect())
-        change = schema_changes(self._frame(now, []), staged)
-        if change["retyped"] or now["buckets"] != self.buckets:
-            touched, kept = None, {}
-        else:
-            kept = {b: p for b, p in now["parts"].items() if int(b) not in set(touched)}
-        merged = merge_upsert(self._frame(now, touched), staged, self.keys, order_guard)
-        self._publish(merged, now, kept, batch_id)
-        self._fs.delete(self._hadoop_path(staged_at), True)
+        try:
+            batch.write.parquet(staged_at)
+            staged = self.spark.read.schema(batch.schema).parquet(staged_at)
+            require_unique(staged, self.keys)
+            # at most `buckets` small integers
+            touched = sorted(r[0] for r in staged.select(self._bucket_of()).distinct().collect())
+            change = schema_changes(self._frame(now, []), staged)
+            # a part that is kept would bring a removed column back when it is added again
+            if change["retyped"] or change["removed"] or now["buckets"] != self.buckets:
+                touched, kept = None, {}
+            else:
+                kept = {b: p for b, p in now["parts"].items() if int(b) not in set(touched)}
+            merged = merge_upsert(self._frame(now, touched), staged, self.keys, order_guard)
+            self._publish(merged, now, kept, batch_id, source)
+        finally:
+            self._fs.delete(self._hadoop_path(staged_at), True)
         return True
 
     def vacuum(self, keep: int = 2) -> int:
@@ -153,15 +184,17 @@ class PublishedTable:
             self._fs.delete(self._hadoop_path(self._manifest_path(v)), False)
         return removed
 
-    def _already(self, now: dict | None, batch_id: int | None) -> bool:
-        return (
-            batch_id is not None
-            and now is not None
-            and now.get("batch_id") is not None
-            and batch_id <= now["batch_id"]
-        )
+    def _already(self, now: dict | None, batch_id: int | None, source: str) -> bool:
+        last = (now or {}).get("batches", {}).get(source)
+        if batch_id is None or last is None:
+            return False
+        if batch_id > last + 1:
+            raise ValueError(f"batch {batch_id} of {source or 'the feed'} follows batch {last}")
+        return batch_id <= last
 
     def _bucket_of(self):
+        if self.part_by is not None:
+            return F.coalesce(self.part_by.cast("string"), F.lit("none"))
         if not self.keys:
             return F.lit(0)
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -172,14 +205,17 @@ class PublishedTable:
         now: dict | None,
         kept: dict,
         batch_id: int | None,
+        source: str = "",
         verify: bool = False,
+        part: Column | None = None,
     ) -> None:
         version = 1 if now is None else now["version"] + 1
         folder = f"data/v{version:010d}-{_token(self.spark)}"
         # A rebalance evens out file sizes: small buckets share tasks, a large
         # bucket is divided over several.
-        out = df.withColumn(_BUCKET, self._bucket_of())
-        out = out.hint("rebalance", F.col(_BUCKET)) if self.keys else out.hint("rebalance")
+        out = df.withColumn(_BUCKET, self._bucket_of() if part is None else part)
+        if part is not None or self.keys or self.part_by is not None:
+            out = out.hint("rebalance", F.col(_BUCKET))
         out.write.mode("error").partitionBy(_BUCKET).parquet(f"{self.path}/{folder}")
         if verify:
             stored = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}")
@@ -195,7 +231,10 @@ class PublishedTable:
             "buckets": self.buckets,
             "parts": parts,
             "schema": df.schema.jsonValue(),
-            "batch_id": batch_id if batch_id is not None else (now or {}).get("batch_id"),
+            "batches": {
+                **(now or {}).get("batches", {}),
+                **({source: batch_id} if batch_id is not None else {}),
+            },
             "mark": self._mark(f"{self.path}/{folder}", df.schema, now),
         }
         self._commit(version, json.dumps(record))
@@ -211,16 +250,16 @@ class PublishedTable:
 
     def _commit(self, version: int, text: str) -> None:
         final = self._hadoop_path(self._manifest_path(version))
-        draft = self._hadoop_path(f"{self.path}/_manifests/.{version}-{_token(self.spark)}.draft")
-        if self._fs.exists(final):
-            raise ConcurrentPublish(f"{self.path} version {version}")
-        stream = self._fs.create(draft, False)
+        try:  # creation is exclusive: of two writers, one fails
+            stream = self._fs.create(final, False)
+        except Exception as taken:
+            if self._fs.exists(final):
+                raise ConcurrentPublish(f"{self.path} version {version}") from taken
+            raise
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
-        if not self._fs.rename(draft, final):
-            raise ConcurrentPublish(f"{self.path} version {version}")
 
 
 def _token(spark: SparkSession) -> str:

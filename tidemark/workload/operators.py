@@ -185,13 +185,9 @@ select source_name, max_loaded_at, datediff('second', max_loaded_at, timestamp '
     when datediff('second', max_loaded_at, timestamp '{_AS_OF}') > 2 * 3600 then 'warn' else 'pass' end as status from m""",
 )
 def freshness(src):
-    events = src.table("events").select("event_type", F.col("ts").alias("_loaded_at"))
-    sources = {
-        kind: events.filter(F.col("event_type") == kind)
-        for kind in ("view", "click", "signup", "purchase", "error")
-    }
-    sources["orders"] = src.table("orders").select(F.col("o_orderdate").alias("_loaded_at"))
-    return audit.freshness(sources, _AS_OF)
+    events = src.table("events").select(F.col("event_type").alias("name"), F.col("ts").alias("_loaded_at"))
+    orders = src.table("orders").select(F.lit("orders").alias("name"), F.col("o_orderdate").alias("_loaded_at"))
+    return audit.freshness_by(shape.union_all([events, orders]), "name", _AS_OF)
 
 
 _AUDITED = "customer events lineitem nation orders part supplier".split()
@@ -439,6 +435,37 @@ _CHILD = (
 )
 
 
+# One order holds a third of the lines, others have no key.
+_SKEWED = """select l_orderkey * 10 + l_linenumber as line_id, l_quantity,
+  case when l_linenumber % 3 = 0 then 1 when l_linenumber % 5 = 0 then null else l_orderkey end as fk, l_shipdate as at from lineitem"""
+_VERSIONS = """select o_orderkey as k, 1 as version, o_orderdate as starts, o_orderdate + interval 60 days as ends from orders
+union all select o_orderkey, 2, o_orderdate + interval 60 days, null from orders"""
+
+
+@query(
+    "asof_hot_key",
+    f"""select f.line_id, f.fk, v.version from ({_SKEWED}) f left join ({_VERSIONS}) v
+on f.fk = v.k and f.at >= v.starts and (v.ends is null or f.at < v.ends)""",
+)
+def asof_hot_key(src):
+    fact, dim = src.sql(_SKEWED), src.sql(_VERSIONS)
+    hot = joins.hot_keys(fact, {"fk": "fk"})["fk"]
+    return joins.asof_join(fact, dim, "fk", "k", "at", ["version"], "starts", "ends", hot=hot).select(
+        "line_id", "fk", "version"
+    )
+
+
+@query(
+    "lookup_mixed_types",
+    f"select f.line_id, f.fk, o.o_totalprice from ({_SKEWED}) f left join orders o on f.fk = o.o_orderkey",
+)
+def lookup_mixed_types(src):
+    fact = src.sql(_SKEWED)
+    orders = src.table("orders").withColumn("k", F.col("o_orderkey").cast("decimal(20,2)"))
+    hot = joins.hot_keys(fact, {"fk": "fk"})["fk"]
+    return joins.lookup_join(fact, orders, "fk", "k", ["o_totalprice"], hot=hot).select("line_id", "fk", "o_totalprice")
+
+
 @query("orphans", f"select line_id, fk from ({_CHILD}) x left join orders on fk = o_orderkey where o_orderkey is null")
 def orphans(src):
     return joins.orphans(src.sql(_CHILD), src.table("orders"), "fk", "o_orderkey")
@@ -446,11 +473,12 @@ def orphans(src):
 
 @query(
     "role_check",
-    f"""select r.l_orderkey, r.l_linenumber, r.l_extendedprice from ({_ROLE_FACT}) r
-left join customer rg on reviewer = rg.c_custkey left join supplier rh on reviewer = rh.s_suppkey
-left join customer eg on reviewee = eg.c_custkey left join supplier eh on reviewee = eh.s_suppkey
-where (role = 'guest_to_host' and (rg.c_custkey is null or eh.s_suppkey is null))
-  or (role = 'host_to_guest' and (rh.s_suppkey is null or eg.c_custkey is null))""",
+    f"""select l_orderkey, l_linenumber, l_extendedprice from (
+  select *, case when role = 'guest_to_host' then reviewer else reviewee end as guest,
+         case when role = 'guest_to_host' then reviewee else reviewer end as host
+  from ({_ROLE_FACT}) f where role <> 'other') named
+where not exists (select 1 from customer where c_custkey = named.guest)
+   or not exists (select 1 from supplier where s_suppkey = named.host)""",
 )
 def role_check(src):
     parties = {
@@ -532,8 +560,11 @@ def session_metrics(src):
     )
 
 
-@query("funnel_check", f"""select session_id from ({_ROLLUP_SQL}) s where (had_booking_complete and not had_booking_start)
-or (had_booking_start and not had_click) or (had_click and not had_view)""")
+_CHAIN = ("view", "click", "booking_start", "booking_complete")
+_GAPS = " or ".join(f"had_{b} > had_{a}" for a, b in zip(_CHAIN, _CHAIN[1:]))
+
+
+@query("funnel_check", f"select session_id from ({_ROLLUP_SQL}) s where {_GAPS}")
 def funnel_check(src):
     from tidemark.plans.checks import FUNNEL_CHAIN
 
