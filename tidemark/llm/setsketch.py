@@ -11,12 +11,14 @@
    band are candidates. A pair of similarity 0.8 shares none of the 42 bands with
    probability 3e-6; the more similar, the rarer still.
 4. Links. All pairs within a band are never listed. Each representative is first
-   held against one hub of its bands; what is then connected needs no further
-   comparison, so that only members of different components are paired: first the
-   likeliest partner of each, then all that are left. Pairs are dropped when their
-   sizes or the joint maximum-likelihood estimate of their similarity (six
-   deviations below the threshold) rule a link out, all others are verified on the
-   full sets.
+   held against the hub that it shares most bands with; the hub of a band is the
+   member with the most company over all its bands, which near an original is the
+   original. What is connected then needs no further comparison: later rounds hold
+   the strays of each band against other hubs, and at the end against every member
+   of another component. Pairs are dropped when their sizes or the joint
+   maximum-likelihood estimate of their similarity (4.5 deviations below the
+   threshold, so one link in 300,000 at most) rule a link out; all others are
+   verified on the full sets.
 5. Components of the verified links, joined back to every document.
 
 Sets are held as 64-bit hashes of shingles. Defined results: NULL or empty texts
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import stored
 from tidemark.llm.components import components
@@ -45,6 +47,9 @@ BASE = 1.001
 RATE = 20.0
 SIMILAR = 80  # per cent
 CHUNK = 128  # documents sketched together
+HUB_ROUNDS = 3  # with other hubs, before strays meet all members of their bands
+HUBS_EACH = 4  # hubs a stray is held against in one of them
+DEVIATIONS = 4.5
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -209,7 +214,7 @@ def _likely(pairs: DataFrame, full: DataFrame) -> DataFrame:
                     x, y, part["n_a"].to_numpy(dtype=float), part["n_b"].to_numpy(dtype=float)
                 )
                 out = part[["a", "b"]].assign(guess=guess)
-                yield out[guess >= SIMILAR / 100 - 6 * deviation]
+                yield out[guess >= SIMILAR / 100 - DEVIATIONS * deviation]
 
     sized = pairs.join(one, "a").join(two, "b")
     fits = 100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")
@@ -238,11 +243,15 @@ def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "u long, v long")
 
 
-def _best(pairs: DataFrame, order) -> DataFrame:
-    """One partner per ``a``: the greatest ``order``."""
-    return pairs.groupBy("a").agg(F.max(F.struct(order, F.col("b"))).alias("_top")).select(
-        "a", F.col("_top.b").alias("b")
-    )
+def _nearest(pairs: DataFrame, hubs: int) -> DataFrame:
+    """Of the hubs ``b`` in ``pairs`` (a, b per band), those that ``a`` shares most bands with."""
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+    if hubs == 1:
+        best = counted.groupBy("a").agg(F.max(F.struct("times", F.col("b"))).alias("top"))
+        return best.select("a", F.col("top.b").alias("b"))
+    # a row per band at most, of which there is a fixed number
+    order = Window.partitionBy("a").orderBy(F.col("times").desc(), "b")
+    return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= hubs).select("a", "b")
 
 
 def near_duplicates(
@@ -284,7 +293,6 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
     width = 2 * ROWS
     bands = classes.select(
         "id",
-        "n",
         F.explode(
             F.transform(
                 F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -294,10 +302,10 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
     )
     hubs = (
         bands.groupBy("band")
-        .agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("members"))
+        .agg(F.count(F.lit(1)).alias("members"))
         .filter("members > 1")
     )
-    shared = stored(bands.join(hubs, "band").select("band", "id", "n", "hub"), "bands")
+    shared = stored(bands.join(hubs, "band").select("band", "id", "members"), "bands")
     wanted = classes.join(shared.select("id").distinct(), "id", "left_semi")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = _full_sets(docs, wanted, words, text_col, id_col)
@@ -324,52 +332,65 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
 
 def _links(shared: DataFrame, full: DataFrame) -> DataFrame:
     """Verified links that connect all that any verified links connect."""
-    # each member against the hub that it shares most bands with
-    hub_pairs = (
-        shared.filter("id <> hub")
-        .groupBy(F.col("id").alias("a"), F.col("hub").alias("b"))
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-    first = stored(_best(hub_pairs, F.col("times")), "hub-pairs")
-    tested = first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-    links = stored(_verified(_likely(first, full), full), "links")
-    for last in (False, True):
-        label = stored(components(links), "labels")
-        left = stored(_across(shared, label, tested), "across")
-        likely = stored(_likely(left, full), "likely")
-        if not likely.head(1):
+    company = shared.groupBy("id").agg(F.sum("members").alias("company"))
+    shared = stored(shared.join(company, "id").select("band", "id", "company"), "band-members")
+    hubs = shared.groupBy("band").agg(F.max(F.struct("company", "id")).alias("hub"))
+    met = shared.join(hubs, "band").select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
+    pairs = stored(_nearest(met.filter("a <> b"), 1), "hub-pairs")
+    tested = _ordered(pairs).distinct()
+    links = stored(_verified(_likely(pairs, full), full), "links")
+    for round_ in range(HUB_ROUNDS + 1):
+        strays, members = _mixed(shared, links)
+        if not strays.head(1):
             break
-        if not last:
-            both = likely.union(likely.select(F.col("b").alias("a"), F.col("a").alias("b"), "guess"))
-            likely = stored(_best(both, F.col("guess")), "likeliest")
-            seen = likely.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-            tested = stored(tested.union(seen).distinct(), "tested")
-        links = stored(links.union(_verified(likely, full)).distinct(), "links")
+        if round_ < HUB_ROUNDS:
+            draw = F.xxhash64("id", F.lit(round_))
+            chosen = members.filter("home").groupBy("band").agg(F.max(F.struct(draw.alias("d"), "id")).alias("hub"))
+            met = strays.join(chosen, "band").select("a", F.col("hub.id").alias("b"))
+            pairs = _nearest(met, HUBS_EACH)
+        else:
+            others = members.select("band", F.col("id").alias("b"), "component")
+            pairs = strays.join(others, "band").filter("component <> of").select("a", "b")
+        pairs = _ordered(pairs).distinct().join(tested, ["x", "y"], "left_anti")
+        pairs = stored(_likely(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), full), "likely")
+        if pairs.head(1):
+            tested = stored(tested.union(_ordered(pairs)).distinct(), "tested")
+            links = stored(links.union(_verified(pairs, full)).distinct(), "links")
     return links
 
 
-def _across(shared: DataFrame, label: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs that share a band but not a component.
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+
+
+def _mixed(shared: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Strays (band, a, of) and members (band, id, component, home) of bands that hold several components.
 
-    In each band all but the members of one component (the hub's) are paired with
-    the other members, so a band inside one component makes no pair.
+    The home of a band is the component of its member with the most company; all
+    its other members are strays. A band inside one component has none.
     """
-    # joins that add one label; a node without a link is its own component
-    labelled = shared.join(label, F.col("id") == F.col("node"), "left").select(
-        "band", "id", "hub", F.coalesce("component", "id").alias("component")
+    label = components(links)
+    labelled = stored(
+        shared.join(label, F.col("id") == F.col("node"), "left").select(
+            "band", "id", "company", F.coalesce("component", "id").alias("component")
+        ),
+        "labelled",
     )
-    mixed = (
+    several = (
         labelled.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.max(F.struct("company", "id", "component")).alias("top"),
+        )
         .filter("low <> high")
+        .select("band", F.col("top.component").alias("main"))
     )
-    members = labelled.join(mixed, "band").select("band", "id", "component", "low")
-    strays = members.filter("component <> low")
-    pairs = (
-        strays.select("band", F.col("id").alias("s"), F.col("component").alias("of"))
-        .join(members.select("band", F.col("id").alias("o"), "component"), "band")
-        .filter("component <> of")
-        .select(F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b"))
-        .distinct()
+    members = stored(
+        labelled.join(several, "band").select(
+            "band", "id", "component", (F.col("component") == F.col("main")).alias("home")
+        ),
+        "mixed",
     )
-    return pairs.join(tested, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
+    strays = members.filter("not home").select("band", F.col("id").alias("a"), F.col("component").alias("of"))
+    return strays, members
