@@ -1 +1,8 @@
 """Operators for preparing large text corpora for model training."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to executors by value: these need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -31,7 +31,6 @@ import base64
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -143,10 +142,18 @@ class Codec:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
-@lru_cache(maxsize=4)
 def codec(path: str, pattern: str, leaf: int = LEAF) -> Codec:
-    """One codec per Python worker."""
-    return Codec(path, pattern, leaf)
+    """One codec per Python worker.
+
+    Kept beside the library: globals of this module are copies in each task.
+    """
+    import tiktoken
+
+    kept = vars(tiktoken).setdefault("_corpus_codecs", {})
+    key = (path, pattern, leaf)
+    if key not in kept:
+        kept[key] = Codec(path, pattern, leaf)
+    return kept[key]
 
 
 def _with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
