@@ -35,7 +35,7 @@ MAX_SAMPLE = 6000
 CUT = 0.7
 SHORTEST, LONGEST = 4, 12  # letters of a word beginning
 MIN_DOCS, MIN_SHARE = 3, 0.01  # toxic texts a term must be in
-MIN_ODDS = 20.0
+MIN_ODDS = 100.0  # of a term that some harmless text holds as well
 MAX_TERMS = 5000
 MAX_PHRASES = 5000
 
@@ -137,7 +137,7 @@ class Lexicon:
 
 def density(weight: float, words: int) -> float:
     """Lexicon weight per word on a compressed scale; short texts are padded a little."""
-    return math.log1p(200.0 * weight / (words + 5)) if words else 0.0
+    return math.log1p(200.0 * weight / (words + 20)) if words else 0.0
 
 
 def choose_terms(
@@ -152,7 +152,7 @@ def choose_terms(
     good: dict[str, tuple[int, float]] = {}
     for term, bad, fine in counts:
         odds = (bad / toxic) / ((fine + 0.5) / (harmless + 1))
-        if bad >= least and odds >= min(MIN_ODDS, (harmless + 1) / 2):
+        if bad >= least and (fine == 0 or odds >= MIN_ODDS):
             good[term] = (bad, math.log(odds))
     covered = {
         t[:-1] for t, (bad, _) in good.items() if len(t) > 1 and t[:-1] in good and bad >= 0.9 * good[t[:-1]][0]
