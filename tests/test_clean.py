@@ -66,6 +66,7 @@ CASES = {
         (None, None),
     ],
     "parse_list": [
+        ('{"a": "x, y", "b": "z|w"}', ['{"a": "x, y", "b": "z|w"}']),
         ('["WiFi", "TV"]', ["WiFi", "TV"]),
         ("WiFi|TV", ["WiFi", "TV"]),
         ("WiFi, TV", ["WiFi", "TV"]),

@@ -373,10 +373,11 @@ def phone_e164(x: Column) -> Column:
 
 # ---- lists ------------------------------------------------------------------
 def parse_list(x: Column) -> Column:
-    """String array from a JSON array, ``a|b`` or ``a, b``."""
+    """String array from a JSON array, ``a|b`` or ``a, b``; a JSON object is one element."""
     split = F.when(x.contains("|"), F.split(x, r"\|")).otherwise(F.split(x, ", "))
     as_json = F.when(F.trim(x).startswith("["), F.from_json(x, "array<string>"))
-    return F.coalesce(as_json, split)
+    is_object = F.trim(x).startswith("{") & F.from_json(x, "map<string,string>").isNotNull()
+    return F.coalesce(as_json, F.when(is_object, F.array(x)), split)
 
 
 def list_size(x: Column) -> Column:

@@ -197,6 +197,7 @@ def phone(x: str) -> str:
 def parse_list(x: str) -> str:
     return (
         f"case when {x} like '[%' and json_valid({x}) then from_json({x}, '[\"varchar\"]') "
+        f"when {x} like '{{%' and json_valid({x}) then [{x}] "
         f"when contains({x}, '|') then string_split({x}, '|') else string_split({x}, ', ') end"
     )
 
