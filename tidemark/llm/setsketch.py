@@ -47,8 +47,8 @@ BASE = 1.001
 RATE = 20.0
 SIMILAR = 80  # per cent
 CHUNK = 128  # documents sketched together
-HUB_ROUNDS = 3  # with other hubs, before strays meet all members of their bands
-HUBS_EACH = 4  # hubs a stray is held against in one of them
+HUB_ROUNDS = 1  # with other hubs, before strays meet all members of their bands
+HUBS_EACH = 6  # hubs a stray is held against in one of them
 DEVIATIONS = 4.5
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -312,10 +312,10 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
     # stays where it is through all rounds; lost parts are computed again
     full = full.repartition(partitions, "id").persist(StorageLevel.DISK_ONLY)
     try:
-        links = _links(shared, full)
+        label = _connected(shared, full)
     finally:
         full.unpersist()
-    found = components(links).select(F.col("node").alias("id"), "component")
+    found = label.select(F.col("node").alias("id"), "component")
     known = (
         classes.select("set_key", "id")
         .join(found, "id", "left")
@@ -330,8 +330,8 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
     )
 
 
-def _links(shared: DataFrame, full: DataFrame) -> DataFrame:
-    """Verified links that connect all that any verified links connect."""
+def _connected(shared: DataFrame, full: DataFrame) -> DataFrame:
+    """(node, component) of all that verified links connect."""
     company = shared.groupBy("id").agg(F.sum("members").alias("company"))
     shared = stored(shared.join(company, "id").select("band", "id", "company"), "band-members")
     hubs = shared.groupBy("band").agg(F.max(F.struct("company", "id")).alias("hub"))
@@ -339,8 +339,9 @@ def _links(shared: DataFrame, full: DataFrame) -> DataFrame:
     pairs = stored(_nearest(met.filter("a <> b"), 1), "hub-pairs")
     tested = _ordered(pairs).distinct()
     links = stored(_verified(_likely(pairs, full), full), "links")
+    label = components(links)
     for round_ in range(HUB_ROUNDS + 1):
-        strays, members = _mixed(shared, links)
+        strays, members = _mixed(shared, label)
         if not strays.head(1):
             break
         if round_ < HUB_ROUNDS:
@@ -355,21 +356,24 @@ def _links(shared: DataFrame, full: DataFrame) -> DataFrame:
         pairs = stored(_likely(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), full), "likely")
         if pairs.head(1):
             tested = stored(tested.union(_ordered(pairs)).distinct(), "tested")
-            links = stored(links.union(_verified(pairs, full)).distinct(), "links")
-    return links
+            found = stored(_verified(pairs, full), "links")
+            if found.head(1):
+                # earlier links are as good as one link per node to its component
+                links = label.select(F.col("node").alias("u"), F.col("component").alias("v")).union(found)
+                label = components(links)
+    return label
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
 
 
-def _mixed(shared: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _mixed(shared: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Strays (band, a, of) and members (band, id, component, home) of bands that hold several components.
 
     The home of a band is the component of its member with the most company; all
     its other members are strays. A band inside one component has none.
     """
-    label = components(links)
     labelled = stored(
         shared.join(label, F.col("id") == F.col("node"), "left").select(
             "band", "id", "company", F.coalesce("component", "id").alias("component")
