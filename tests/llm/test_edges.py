@@ -1,5 +1,7 @@
 """Odd inputs: nulls, empty and very long texts, ties, repeats, empty tables, clashing names."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +111,17 @@ def test_suffixes(spark):
     assert {k: v[0] for k, v in got.items()} == want and want[None] == len(text)
 
 
+def test_a_repeated_row_is_one_document(spark):
+    """Copies of a row are no earlier start; a passage repeated inside or in another row is."""
+    own, inner, void = ("".join(random.Random(k).choices("abcdefghij ", k=500)) for k in range(3))
+    rows = [(4, own)] * 3 + [(7, inner + "#" + inner[:200])] * 2 + [(9, "x" + own[:300])] + [(None, void)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id or 99, r.n_removed) for r in suffix_dedup.remove_repeats(df).collect())
+    want = brute_force(dict.fromkeys(rows))
+    assert got == sorted((i or 99, want[i]) for i, _ in rows)
+    assert want[4] == want[None] == 0 and want[7] >= 200 and want[9] >= 300
+
+
 def brute_force(docs):
     seen, out = set(), {}
     for name, text in docs:

@@ -7,7 +7,8 @@ smaller doc_id, or earlier in the same document).
    least hash, the leftmost of equals, is the window's anchor. Equal windows have
    equal anchors at equal offsets, so windows are compared per anchor, and only
    anchors whose string occurs twice in the corpus go on: about one suffix for 40
-   bytes, instead of one per byte.
+   bytes, instead of one per byte. Copies of a row count here, so their anchors go
+   on too, but once per document, not per copy.
 2. Runs. A task sorts the suffixes at its documents' anchors (hash, then text up
    to the last window's end) and writes, per exchange bucket, a front-coded run:
    each suffix without the prefix it shares with the one before.
@@ -354,10 +355,12 @@ def repeated_stretches(docs: DataFrame, text_col: str = "text", id_col: str = "d
     # an anchor with more than half a bucket's share of places is dealt out
     parts = F.least(F.ceil(F.col("n") / share), F.lit(65_535))
     dealt = F.when(F.col("n") > share, 1 + F.pmod(F.xxhash64("_d", "_r", "place"), parts)).otherwise(0)
+    # sets and one text per document: copies of a row collapse ahead of the shuffles
     wanted = chosen.groupBy("_d", "_r").agg(
-        F.collect_list(F.shiftleft("place", 16).bitwiseOR(dealt.cast("long"))).alias("wanted")
+        F.collect_set(F.shiftleft("place", 16).bitwiseOR(dealt.cast("long"))).alias("wanted")
     )
-    runs = keyed.join(wanted, ["_d", "_r"]).mapInPandas(_cut_runs(buckets), "bucket long, run binary")
+    single = keyed.groupBy("_d", "_r").agg(F.first("text").alias("text"))
+    runs = single.join(wanted, ["_d", "_r"]).mapInPandas(_cut_runs(buckets), "bucket long, run binary")
     judged = stored(
         runs.groupBy("bucket").applyInPandas(
             _merge_bucket, "_d long, _r long, start long, stop long, digest binary"
