@@ -87,6 +87,48 @@ def test_defined_results(results):
     assert by_id(results["schedule"], 1)[0].taken == 0
 
 
+WRAPPED = {
+    "mit": """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software.
+""",
+    "gpl": """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */""",
+    "bsd": """# Redistribution and use in source and binary forms,
+# with or without modification, are
+# permitted provided that the following conditions are met:
+#
+# some code follows""",
+    "apache": """// Licensed under the Apache
+// License, Version 2.0 (the "License");
+// you may not use this file except
+// in compliance with the License.\r
+int main() {}""",
+    "unknown": """The council gave permission to the
+baker to sell bread in the old town, and
+
+the driver lost a license on
+the way home from the sea.""",
+}
+
+
+def test_wrapped_notices(spark):
+    rows = list(WRAPPED.items())
+    df = spark.createDataFrame(rows, "name string, text string")
+    got = license_scan.scan(df, license_scan.train(spark)).collect()
+    assert {r["name"]: (r.family, r.families) for r in got} == {
+        k: (k, [k] if k != "unknown" else []) for k, _ in rows
+    }
+
+
 def test_near_duplicates_of_odd_rows(results):
     rows = results["near"]
     assert {r.component_id for r in by_id(rows, 4) + by_id(rows, 5)} == {4}

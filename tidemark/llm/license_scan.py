@@ -9,6 +9,11 @@ longer prose), and from a bounded sample of ordinary paragraphs of the corpus
 set on variants kept aside. A prediction counts as confirmed when the paragraph
 holds enough of the words of one of the family's templates.
 
+A paragraph ends at a line without letters or digits. So that a wrapped notice is
+judged as a whole and a notice among other lines is not drowned by them, every
+line, the first ``WINDOWS`` words from each line on and the joined paragraph are
+judged; the paragraph has every family confirmed in one of them.
+
 Scoring is one projection over the scan: no user functions and no shuffle. A
 paragraph without any cue word of the templates has no feature that could lift a
 family above unknown and is not scored.
@@ -25,7 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import BLANK
+from tidemark.llm.common import BLANK, let
 
 UNKNOWN = "unknown"
 MAX_ORDINARY = 400
@@ -69,17 +74,45 @@ TEMPLATES = {
     ),
 }
 
-# Stems of which at least one is in every template.
+# Stems of which at least one is in every template; words may be apart by a line's end and its comment mark.
 CUES = (
-    "licen", "copyright", "spdx", "rights reserved", "creative commons", "redistribut", "permission", "gnu",
+    "licen", "copyright", "spdx", r"rights[^\p{L}\p{N}]+reserved", r"creative[^\p{L}\p{N}]+commons",
+    "redistribut", "permission", "gnu",
 )
+CUE = "(?i)" + "|".join(CUES)
+WINDOWS = (20, 40)  # words; the longest template has 29
 
 
 def paragraphs(text: Column) -> Column:
-    """The lines of ``text`` that hold a cue word."""
-    cue = F.lit("(?i)" + "|".join(CUES))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, cue))
-    return F.when(F.rlike(text, cue), lines).otherwise(F.array().cast("array<string>"))
+    """The paragraphs of ``text`` that hold a cue word, each as the array of its lines.
+
+    Lines without a letter or digit part paragraphs; comment marks before a line's
+    first letter or digit are left out.
+    """
+    lines = F.regexp_replace(text, r"\r\n?", "\n")
+    blocks = F.filter(F.split(lines, r"\n[^\p{L}\p{N}\n]*(?=\n)"), lambda b: F.rlike(b, F.lit(CUE)))
+
+    def bare(line: Column) -> Column:
+        return F.regexp_replace(line, r"^[^\p{L}\p{N}]*(?:(?i:dnl|rem)\s+)?", "")
+
+    cut = F.transform(blocks, lambda b: F.filter(F.transform(F.split(b, "\n"), bare), lambda x: x != ""))
+    return F.when(F.rlike(text, F.lit(CUE)), cut).otherwise(F.array().cast("array<array<string>>"))
+
+
+def units(lines: Column) -> Column:
+    """What is judged of a paragraph: its lines, the words from each line on, and the whole."""
+
+    def windows(line: Column, i: Column) -> Column:
+        # a line has a word at least
+        tail = F.split(F.array_join(F.slice(lines, i + 1, max(WINDOWS)), " "), f"{BLANK}+")
+        cut = lambda t: F.array(*[F.array_join(F.slice(t, 1, n), " ") for n in WINDOWS])
+        return F.concat(F.array(line), F.element_at(F.transform(F.array(tail), cut), 1))
+
+    whole = F.array(F.array_join(lines, " "))
+    every = F.when(F.size(lines) == 1, whole).otherwise(
+        F.concat(F.flatten(F.transform(lines, windows)), whole)
+    )
+    return F.filter(F.array_distinct(every), lambda u: F.rlike(u, F.lit(CUE)))
 
 
 def tokens(line: Column) -> Column:
@@ -205,7 +238,7 @@ def train(spark: SparkSession, docs: DataFrame | None = None, text_col: str = "t
 
     rows = _variants()
     if docs is not None:
-        cue = F.lit("(?i)" + "|".join(CUES))
+        cue = F.lit(CUE)
         lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line"))
         ordinary = lines.filter(~F.rlike("line", cue) & (F.length("line") > 0)).limit(MAX_ORDINARY)
         rows += [(r.line[:4000], UNKNOWN) for r in ordinary.collect()]
@@ -239,18 +272,47 @@ def train(spark: SparkSession, docs: DataFrame | None = None, text_col: str = "t
     return scanner
 
 
+def _together(verdicts: Column) -> Column:
+    """One struct of the verdicts of a paragraph's units, ``families`` the confirmed ones."""
+    best = F.array_max(
+        F.transform(
+            verdicts,
+            lambda v: F.struct(
+                v["confirmed"].alias("confirmed"),
+                (v["family"] != UNKNOWN).alias("known"),
+                v["confidence"].alias("confidence"),
+                v["family"].alias("family"),
+            ),
+        )
+    )
+    sure = F.transform(F.filter(verdicts, lambda v: v["confirmed"]), lambda v: v["family"])
+    return let(
+        best,
+        lambda b: F.struct(
+            b["family"].alias("family"),
+            b["confidence"].alias("confidence"),
+            b["confirmed"].alias("confirmed"),
+            F.sort_array(F.array_distinct(sure)).alias("families"),
+        ),
+    )
+
+
 def scan(docs: DataFrame, scanner: Scanner, text_col: str = "text") -> DataFrame:
     """``docs`` with ``verdicts`` (one struct per cue paragraph), ``families``, ``family``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     step = docs.withColumn("_lines", paragraphs(text))
-    step = step.withColumn("verdicts", F.transform("_lines", scanner.verdict)).drop("_lines")
+
+    def judged(lines: Column) -> Column:
+        return let(F.transform(units(lines), scanner.verdict), _together)
+
+    step = step.withColumn("verdicts", F.transform("_lines", judged)).drop("_lines")
     sure = F.filter("verdicts", lambda v: v["confirmed"])
     top = F.sort_array(
         F.transform(sure, lambda v: F.struct(v["confidence"].alias("c"), v["family"].alias("f"))), False
     )
     return step.withColumns(
         {
-            "families": F.sort_array(F.array_distinct(F.transform(sure, lambda v: v["family"]))),
+            "families": F.sort_array(F.array_distinct(F.flatten(F.transform(sure, lambda v: v["families"])))),
             "family": F.coalesce(F.get(top, F.lit(0))["f"], F.lit(UNKNOWN)),
         }
     )

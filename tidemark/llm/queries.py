@@ -123,7 +123,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(docs, scanner).select(
         "doc_id",
         F.size("verdicts").cast("long").alias("n_cue_paragraphs"),
-        F.size(F.filter("verdicts", lambda v: v["confirmed"])).cast("long").alias("n_licences"),
+        F.size(F.flatten(F.transform("verdicts", lambda v: v["families"]))).cast("long").alias("n_licences"),
         "family",
         F.array_join("families", ",").alias("families"),
     )
