@@ -120,6 +120,26 @@ def test_landed_files_stream_into_bronze(spark, folder):
     assert good.count() == 3 and bad.count() == 1
 
 
+def test_a_stream_brings_loaded_files_into_bronze(spark, folder):
+    """A file that load() logged before the stream reached it, with no refresh in between."""
+    w = Warehouse(spark, f"{folder}/house", buckets=4)
+    host = '{"host_id": "H-%d", "host_name": "ann", "is_superhost": true, "_stream_timestamp": "2025-01-01T00:00:00Z"}'
+
+    def deliver(day, line):
+        where = f"{folder}/landing/host/year=2025/month=1/day={day}"
+        os.makedirs(where)
+        with open(f"{where}/part.json", "w") as f:
+            f.write(line)
+
+    deliver(1, host % 1)
+    w.load(f"{folder}/landing", f"{folder}/loads", ["hosts"])
+    deliver(2, host % 2)
+    w.ingest("hosts", f"{folder}/landing", f"{folder}/checkpoint").awaitTermination()
+    w.run_bronze()
+    assert sorted(r.host_id for r in w.read("bronze_hosts").collect()) == ["H-1", "H-2"]
+    assert w.raw.read("hosts").count() == 2
+
+
 def test_raw_is_loaded_once_and_read_by_date(spark, folder):
     w = Warehouse(spark, f"{folder}/house", buckets=4)
     host = '{"host_id": "H-%d", "host_name": "ann", "is_superhost": true, "_stream_timestamp": "2025-01-01T00:00:00Z"}'

@@ -24,6 +24,7 @@ from tidemark.plans.layers import (
 )
 from tidemark.session import tune
 from tidemark.sources.calendar import END, START, date_dimension
+from tidemark.sources.landing import CORRUPT
 from tidemark.sources.raw import RawStore, stream_id
 from tidemark.sources.schemas import LANDING_FOLDERS, raw_schema
 from tidemark.sources.tables import PublishedTable
@@ -105,8 +106,11 @@ class Warehouse:
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             source = stream_id(self.spark, checkpoint)
-            good = self.raw.append(entity, batch, f"{source}-{batch_id}")
+            self.raw.append(entity, batch, f"{source}-{batch_id}")
+            # the log decides what RAW takes; bronze takes the whole batch, since files that
+            # another load put into RAW may lie below the mark this batch sets
             columns = [f.name for f in raw_schema(entity)]
+            good = batch.filter(F.col(CORRUPT).isNull())
             rows = good.select(*columns, "_source_file", "_loaded_at")
             table.merge(BRONZE[entity].latest(rows), batch_id=batch_id, source=source)
 
