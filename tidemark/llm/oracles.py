@@ -191,3 +191,117 @@ select doc_id, n::bigint as n_bytes, coalesce(removed, 0) as n_removed, coalesce
        sha256(unhex(coalesce(head, '') || substr(h, (2 * coalesce(tail, 0) + 1)::bigint))) as kept_sha256
 from raw left join cuts using (doc_id)
 """
+
+SQL["op11_covertree"] = """
+with recursive sound as (
+    select row_number() over () as rid, vec_id, label, embedding::double[] as v from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as (
+    select a.rid as x, b.rid as y, b.vec_id as other
+    from sound a join sound b on a.label = b.label and len(a.v) = len(b.v) and a.rid <> b.rid
+    where list_cosine_similarity(a.v, b.v) >= 0.98
+), reach as (
+    select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x
+), least_of as (
+    select r.x, min(s.vec_id) as m from reach r join sound s on s.rid = r.y group by r.x
+), counted as (
+    select x, count(*) as n from links group by x
+), joined as (
+    select s.vec_id, coalesce(n, 0) as n_links, least(s.vec_id, coalesce(m, s.vec_id)) as component_id
+    from sound s left join counted c on c.x = s.rid left join least_of l on l.x = s.rid
+    union all
+    select vec_id, 0, vec_id from embeddings
+    where vec_id is null or label is null or embedding is null
+       or len(list_filter(embedding, lambda x: x is null or not isfinite(x))) > 0
+       or len(list_filter(embedding, lambda x: x <> 0)) = 0
+)
+select vec_id, n_links::bigint as n_links, component_id, vec_id is null or vec_id = component_id as kept from joined
+"""
+
+
+def _rounds(n: int) -> str:
+    """Assignments a0 to a<n> and the centroids between them."""
+    out = []
+    for i in range(n + 1):
+        out.append(
+            f"""a{i} as materialized (
+    select rid, min({{'d': list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c),
+                      'num': num}}) as best
+    from kept, c{i} group by rid
+)"""
+        )
+        if i < n:
+            out.append(
+                f"""m{i} as (
+    select num, list(x order by d) as c from (
+        select best.num as num, d, floor(sum(v[d])::double / count(*)) as x
+        from a{i} join kept using (rid), (select unnest(range(1, 65)) as d) group by all
+    ) group by num
+), c{i + 1} as materialized (
+    select num, coalesce(m{i}.c, c{i}.c) as c from c{i} left join m{i} using (num)
+)"""
+            )
+    return ", ".join(out)
+
+
+SQL["op12_centroids"] = f"""
+with kept as materialized (
+    select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), c0 as materialized (
+    select row_number() over (order by sha256('2:' || coalesce(vec_id::varchar, '')), v) - 1 as num, v as c
+    from kept qualify num < 40
+), {_rounds(5)}, summed as (
+    select best.num as num, sum(best.d) as total from a5 group by best.num
+)
+select vec_id, best.num::integer as cluster, best.d::bigint as distance, total::bigint as cluster_inertia,
+       (select sum(total) from summed)::bigint as inertia,
+       sha256(array_to_string(list_transform(c, lambda x: x::bigint::varchar), ',')) as centroid_sha256
+from a5 join kept using (rid) join summed on summed.num = best.num join c5 on c5.num = best.num
+"""
+
+# the reflected polynomial of CRC-32; each distinct word's checksum is computed once
+_BIT = "case when {c} & 1 = 1 then xor({c} >> 1, 3988292384) else {c} >> 1 end"
+_CRC = "list_reduce(range(8), lambda c, k: " + _BIT.format(c="c") + ", {start})"
+_TOKENS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+SQL["op13_resampling"] = f"""
+with docs as materialized (
+    select row_number() over () as rid, doc_id, {_TOKENS} as w from documents
+), goal as materialized (
+    select unnest({_TOKENS}) as word from benchmark
+), spread as materialized (
+    select rid, unnest(w) as word from docs
+), vocabulary as (
+    select word, hex(encode(word)) as h from (select word from spread union select word from goal)
+), placed as materialized (
+    select word, xor(list_reduce(list_transform(range(1, len(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::bigint),
+           lambda acc, byte: {_CRC.format(start="xor(acc, byte)")}, 4294967295::bigint), 4294967295) % 10000 as place
+    from vocabulary
+), s as (
+    select place, count(*) as n from spread join placed using (word) group by place
+), t as (
+    select place, count(*) as n from goal join placed using (word) group by place
+), gains as (
+    select place, floor(1000 * ln(((coalesce(t.n, 0) + 1) * ((select count(*) from spread) + 10000))::double
+                   / ((coalesce(s.n, 0) + 1) * ((select count(*) from goal) + 10000))::double))::bigint as gain
+    from s full join t using (place)
+), weighed as (
+    select rid, sum(gain) as weight from spread join placed using (word) join gains using (place) group by rid
+), scored as (
+    select rid, doc_id, len(w)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+           (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::varchar), 1, 8))::bigint + 0.5::double)
+                / 4294967296::double))))::bigint as score
+    from docs left join weighed using (rid)
+), able as (
+    select rid, row_number() over (order by score desc, doc_id, n_features) as place, count(*) over () as n
+    from scored where n_features >= 20 and score is not null
+)
+select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end::bigint as rank
+from scored left join able using (rid)
+"""

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, language, license_scan, mixing, pii, quality, setsketch, suffix_dedup, topk, toxicity
+from tidemark.llm import (
+    bpe,
+    centroids,
+    covertree,
+    language,
+    license_scan,
+    mixing,
+    pii,
+    quality,
+    resampling,
+    setsketch,
+    suffix_dedup,
+    topk,
+    toxicity,
+)
 from tidemark.llm.common import held_out, table, tokenizer
 from tidemark.llm.oracles import SQL
 
@@ -129,6 +143,23 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = centroids.kept_vectors(table(spark, sf_dir, "embeddings"))
+    found = centroids.fit(kept)
+    return centroids.with_inertia(centroids.assign(kept, found), found)
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
