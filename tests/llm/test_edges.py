@@ -226,3 +226,23 @@ def test_top_k_leaves_out_unusable_vectors(spark):
         2 * [(0, 1, 0, 81920), (0, 2, 1, 81920), (0, 3, 7, -256)]
     )
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+HELPERS = "id _id key _key row _row doc _doc hash _hash spans own whole new least band cluster node".split()
+
+
+def test_helper_names_of_the_operators_may_clash(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string")
+    docs = docs.withColumns({c: F.lit("mine") for c in HELPERS})
+    for out in (pii.redact(docs), setsketch.deduplicate(docs, words=5)):
+        assert out.columns == docs.columns
+        assert {tuple(r[c] for c in HELPERS) for r in out.collect()} == {("mine",) * len(HELPERS)}
+
+
+def test_one_id_with_two_texts_loses_no_link(spark):
+    one, two = (" ".join(f"{p}{i}" for i in range(120)) for p in "ab")
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (4, "another text of its own")]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == [
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True),
+    ]

@@ -84,3 +84,14 @@ def test_ngrams_do_not_depend_on_chunks(monkeypatch):
     whole = language.ngram_counts(text)
     monkeypatch.setattr(language, "CHUNK", 97)
     assert (language.ngram_counts(text) == whole).all()
+
+
+def test_intersections_by_matrix_product(monkeypatch):
+    draw = np.random.default_rng(4)
+    pool = np.unique(draw.integers(0, 1 << 63, 500).astype(np.uint64))
+    sets = [np.sort(draw.choice(pool, int(draw.integers(1, 200)), replace=False)) for _ in range(30)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets[5:]] for a in sets[:9]])
+    for columns in (4096, 7):
+        monkeypatch.setattr(setsketch, "COLUMNS", columns)
+        assert (setsketch._intersections(sets[:9], sets[5:]) == want).all()
+    assert setsketch._intersections([], sets).shape == (0, 30)

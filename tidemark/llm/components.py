@@ -7,6 +7,7 @@ take about log n steps.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import stored
@@ -40,3 +41,17 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def forest(size: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The least of the numbers below ``size`` connected with each, within one task."""
+    label = np.arange(size)
+    while True:
+        x, y = label[u], label[v]
+        if (x == y).all():
+            return label
+        least = np.minimum(x, y)
+        np.minimum.at(label, x, least)
+        np.minimum.at(label, y, least)
+        while (label[label] != label).any():
+            label = label[label]

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.components import components
+from tidemark.llm.components import components, forest
 from tidemark.llm.topk import usable
 
 SIMILAR = 0.98
@@ -221,25 +221,11 @@ class Meeting:
             u, v = (np.concatenate(side) for side in zip(*self.edges))
         else:
             u = v = np.zeros(0, dtype=np.int64)
-        root = _forest(len(ids), u, v)
+        root = forest(len(ids), u, v)
         some = np.nonzero((n > 0) | (root != np.arange(len(ids))))[0]
         return ids[some], ids[root[some]], n[some]
 
 
-def _forest(size: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """The least point connected with every point."""
-    label = np.arange(size)
-    while True:
-        x, y = label[u], label[v]
-        if (x == y).all():
-            return label
-        least = np.minimum(x, y)
-        np.minimum.at(label, x, least)
-        np.minimum.at(label, y, least)
-        while (label[label] != label).any():
-            label = label[label]
-
-
 def _classes(vectors: DataFrame, id_col: str, vector_col: str, group_col: str) -> tuple[DataFrame, DataFrame]:
     """All rows as (vec_id, grp, v), v NULL where it links with nothing; and the written classes."""
     numbers = F.transform(F.col(vector_col), lambda x: x.cast("double"))

@@ -303,11 +303,19 @@ def redact(
 ) -> DataFrame:
     """``docs`` with every base and discovered entity replaced in the text."""
     found = with_spans(scan(docs, text_col, id_col), settings).select(
-        F.col("doc_id").alias("_id"), F.col("_h").alias("_key"), F.col("spans").alias("_spans")
+        F.col("doc_id").alias("id"), F.col("_h").alias("key"), "spans"
     )
     # rows without any entity need no partner; repeated rows have the same spans
-    found = found.filter(F.size("_spans") > 0).dropDuplicates(["_id", "_key"])
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_key"))
-    new = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(redacted(text, F.col("_spans")))
-    return docs.join(found, same, "left").withColumn(text_col, new).drop("_id", "_key", "_spans")
+    found = found.filter(F.size("spans") > 0).dropDuplicates(["id", "key"])
+    # one struct, so that no column of the input can clash with the ones added here
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+        F.col(id_col).alias("own"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("whole"),
+    )
+    same = F.col("own").eqNullSafe(F.col("id")) & (F.xxhash64("whole") == F.col("key"))
+    new = F.when(F.col("spans").isNull(), F.col("row")[text_col]).otherwise(redacted(F.col("whole"), F.col("spans")))
+    out = rows.join(found, same, "left").select("row", new.alias("new"))
+    return out.select(
+        *[F.col("new").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
+    )

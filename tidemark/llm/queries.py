@@ -39,7 +39,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, *tokenizer()).drop("text"), *tokenizer())
+    coded = bpe.encode(docs, *tokenizer(), decoded="decoded")
     return coded.select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),

@@ -6,20 +6,24 @@
    of registers, and two registers agree with a probability near the Jaccard
    similarity. Only points below a limit are drawn, about ``m log m`` a document.
 2. Classes. Documents with equal sets share a 128-bit digest of the set and are
-   represented by their least id from here on.
-3. Bands. Registers are cut into bands of six; representatives that agree in a
-   band are candidates. A pair of similarity 0.8 shares none of the 42 bands with
+   one class from here on, with a number of its own: one id may bear two texts.
+3. Bands. Registers are cut into bands of six; classes that agree in a band are
+   candidates. A pair of similarity 0.8 shares none of the 42 bands with
    probability 3e-6; the more similar, the rarer still.
-4. Links. All pairs within a band are never listed. Each representative is first
-   held against the hub that it shares most bands with; the hub of a band is the
-   member with the most company over all its bands, which near an original is the
-   original. What is connected then needs no further comparison: later rounds hold
-   the strays of each band against other hubs, and at the end against every member
-   of another component. Pairs are dropped when their sizes or the joint
-   maximum-likelihood estimate of their similarity (4.5 deviations below the
-   threshold, so one link in 300,000 at most) rule a link out; all others are
-   verified on the full sets.
-5. Components of the verified links, joined back to every document.
+4. Hubs. All pairs within a band are never listed. Each class is first held against
+   the hub that it shares most bands with; the hub of a band is the member with the
+   most company over all its bands, which near an original is the original. A pair
+   is dropped when the sizes or the joint maximum-likelihood estimate of its
+   similarity (4.5 deviations below the threshold, so one link in 300,000 at most)
+   rule a link out; all others are verified on the full sets. What is connected then
+   needs no further comparison.
+5. Strays. A band that still holds several components has a home, the component of
+   its member with the most company; its other members are strays. Classes joined by
+   such bands form a cluster, dealt into blocks of bounded size, and each pair of
+   blocks is one group: the shared shingles of its sets, as columns of zeros and
+   ones, give the intersections of every stray with all others as one matrix
+   product. A group hands back one edge per linked class, so no pair becomes a row.
+6. Components of all links, joined back to every document.
 
 Sets are held as 64-bit hashes of shingles. Defined results: NULL or empty texts
 have an empty set and are linked with nothing; rows with a NULL doc_id are linked
@@ -35,10 +39,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.components import components
+from tidemark.llm.components import components, forest
 
 REGISTERS = 256
 ROWS = 6
@@ -47,8 +51,8 @@ BASE = 1.001
 RATE = 20.0
 SIMILAR = 80  # per cent
 CHUNK = 128  # documents sketched together
-HUB_ROUNDS = 1  # with other hubs, before strays meet all members of their bands
-HUBS_EACH = 6  # hubs a stray is held against in one of them
+BLOCK_SETS, BLOCK_BYTES = 512, 8 << 20  # of a cluster, in one group
+COLUMNS = 4096  # shingles in one matrix product
 DEVIATIONS = 4.5
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -177,11 +181,9 @@ def _digest(s: np.ndarray) -> bytes | None:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str, id_col: str) -> DataFrame:
-    """(id, set) of the representatives in ``wanted`` (id, set_key)."""
-    given = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("text"))
-    found = given.join(wanted, F.col("_doc") == F.col("id")).select(
-        "id", "set_key", "n", "registers", "text"
-    )
+    """(id, n, registers, shingles) of the classes in ``wanted``, from a text of their least document."""
+    given = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text"))
+    found = given.join(wanted, "least").select("id", "set_key", "n", "registers", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
@@ -189,7 +191,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str, id
             for at in range(0, len(frame), CHUNK):
                 part = frame.iloc[at : at + CHUNK].drop(columns="text")
                 sets = [shingle_set(t, hashes, words) for t in frame["text"].iloc[at : at + CHUNK]]
-                # rows that share an id with the representative but not its set
+                # the document may bear other texts, of other classes
                 own = np.array([_digest(s) == k for s, k in zip(sets, part["set_key"])], dtype=bool)
                 part = part.assign(shingles=[s.tobytes() for s in sets])
                 yield part[own].drop(columns="set_key")
@@ -243,15 +245,11 @@ def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "u long, v long")
 
 
-def _nearest(pairs: DataFrame, hubs: int) -> DataFrame:
-    """Of the hubs ``b`` in ``pairs`` (a, b per band), those that ``a`` shares most bands with."""
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """Of the hubs ``b`` in ``pairs`` (a, b per band), the one that ``a`` shares most bands with."""
     counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
-    if hubs == 1:
-        best = counted.groupBy("a").agg(F.max(F.struct("times", F.col("b"))).alias("top"))
-        return best.select("a", F.col("top.b").alias("b"))
-    # a row per band at most, of which there is a fixed number
-    order = Window.partitionBy("a").orderBy(F.col("times").desc(), "b")
-    return counted.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= hubs).select("a", "b")
+    best = counted.groupBy("a").agg(F.max(F.struct("times", F.col("b"))).alias("top"))
+    return best.select("a", F.col("top.b").alias("b"))
 
 
 def near_duplicates(
@@ -268,13 +266,17 @@ def deduplicate(
     kept = (
         _judged(docs, words, text_col, id_col)
         .filter("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_key"))
+        .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("key"))
         .distinct()
     )
-    key = F.xxhash64(F.col(text_col))
-    rows = docs.withColumns({"_doc": F.col(id_col).cast("long"), "_hash": key})
-    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_doc", "_hash"]).drop("_doc", "_hash")
+    # one struct, so that no column of the input can clash with the ones added here
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+        F.col(id_col).cast("long").alias("doc"),
+        F.xxhash64(F.col(text_col)).alias("hash"),
+    )
+    same = F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("key"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc", "hash"]).select("row.*")
 
 
 def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFrame:
@@ -284,10 +286,11 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
         sketched.filter("set_key is not null and doc_id is not null")
         .groupBy("set_key")
         .agg(
-            F.min("doc_id").alias("id"),
+            F.min("doc_id").alias("least"),
             F.first("n_shingles").alias("n"),
             F.first("registers").alias("registers"),
         )
+        .withColumn("id", F.monotonically_increasing_id())  # fixed once it is written
     )
     classes = stored(classes, "classes")
     width = 2 * ROWS
@@ -315,12 +318,14 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
         label = _connected(shared, full)
     finally:
         full.unpersist()
-    found = label.select(F.col("node").alias("id"), "component")
-    known = (
-        classes.select("set_key", "id")
-        .join(found, "id", "left")
-        .select("set_key", F.coalesce("component", "id").alias("component_id"))
+    rooted = stored(
+        classes.select("set_key", "id", "least")
+        .join(label, F.col("id") == F.col("node"), "left")
+        .select("set_key", "least", F.coalesce("component", "id").alias("root")),
+        "rooted",
     )
+    lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = rooted.join(lowest, "root").select("set_key", "component_id")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
         sketched.select("doc_id", "text_hash", "n_shingles", "set_key")
@@ -336,44 +341,18 @@ def _connected(shared: DataFrame, full: DataFrame) -> DataFrame:
     shared = stored(shared.join(company, "id").select("band", "id", "company"), "band-members")
     hubs = shared.groupBy("band").agg(F.max(F.struct("company", "id")).alias("hub"))
     met = shared.join(hubs, "band").select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-    pairs = stored(_nearest(met.filter("a <> b"), 1), "hub-pairs")
-    tested = _ordered(pairs).distinct()
+    pairs = stored(_nearest(met.filter("a <> b")), "hub-pairs")
     links = stored(_verified(_likely(pairs, full), full), "links")
     label = components(links)
-    for round_ in range(HUB_ROUNDS + 1):
-        strays, members = _mixed(shared, label)
-        if not strays.head(1):
-            break
-        if round_ < HUB_ROUNDS:
-            draw = F.xxhash64("id", F.lit(round_))
-            chosen = members.filter("home").groupBy("band").agg(F.max(F.struct(draw.alias("d"), "id")).alias("hub"))
-            met = strays.join(chosen, "band").select("a", F.col("hub.id").alias("b"))
-            pairs = _nearest(met, HUBS_EACH)
-        else:
-            others = members.select("band", F.col("id").alias("b"), "component")
-            pairs = strays.join(others, "band").filter("component <> of").select("a", "b")
-        pairs = _ordered(pairs).distinct().join(tested, ["x", "y"], "left_anti")
-        pairs = stored(_likely(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")), full), "likely")
-        if pairs.head(1):
-            tested = stored(tested.union(_ordered(pairs)).distinct(), "tested")
-            found = stored(_verified(pairs, full), "links")
-            if found.head(1):
-                # earlier links are as good as one link per node to its component
-                links = label.select(F.col("node").alias("u"), F.col("component").alias("v")).union(found)
-                label = components(links)
-    return label
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-
-
-def _mixed(shared: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Strays (band, a, of) and members (band, id, component, home) of bands that hold several components.
-
-    The home of a band is the component of its member with the most company; all
-    its other members are strays. A band inside one component has none.
-    """
+    found = stored(_stray_links(_clusters(shared, label), full), "stray-links")
+    if not found.head(1):
+        return label
+    # earlier links are as good as one link per node to its component
+    return components(label.select(F.col("node").alias("u"), F.col("component").alias("v")).union(found))
+
+
+def _clusters(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """(cluster, id, stray) of the classes in bands that hold several components."""
     labelled = stored(
         shared.join(label, F.col("id") == F.col("node"), "left").select(
             "band", "id", "company", F.coalesce("component", "id").alias("component")
@@ -388,13 +367,83 @@ def _mixed(shared: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.max(F.struct("company", "id", "component")).alias("top"),
         )
         .filter("low <> high")
-        .select("band", F.col("top.component").alias("main"))
+        .select("band", F.col("top.id").alias("hub"), F.col("top.component").alias("home"))
     )
-    members = stored(
-        labelled.join(several, "band").select(
-            "band", "id", "component", (F.col("component") == F.col("main")).alias("home")
-        ),
-        "mixed",
+    members = labelled.join(several, "band").groupBy("id", "hub").agg(
+        F.bool_or(F.col("component") != F.col("home")).alias("stray")
     )
-    strays = members.filter("not home").select("band", F.col("id").alias("a"), F.col("component").alias("of"))
-    return strays, members
+    members = stored(members, "mixed")
+    joined = components(members.select(F.col("id").alias("u"), F.col("hub").alias("v")))
+    joined = joined.groupBy("node").agg(F.min("component").alias("cluster"))
+    strays = members.groupBy("id").agg(F.bool_or("stray").alias("stray"))
+    return strays.join(joined, F.col("id") == F.col("node")).select("cluster", "id", "stray")
+
+
+def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of every set in ``a`` with every set in ``b``."""
+    out = np.zeros((len(a), len(b)), dtype=np.int64)
+    if not a or not b:
+        return out
+    shared = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.searchsorted(shared, flat)
+        known = at < len(shared)
+        known[known] = shared[at[known]] == flat[known]
+        order = np.argsort(at[known], kind="stable")
+        return at[known][order], row[known][order]
+
+    (at_a, row_a), (at_b, row_b) = places(a), places(b)
+    for low in range(0, len(shared), COLUMNS):
+        high = min(len(shared), low + COLUMNS)
+
+        def ones(at: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+            i, j = np.searchsorted(at, [low, high])
+            x = np.zeros((n, high - low), dtype=np.float32)
+            x[row[i:j], at[i:j] - low] = 1
+            return x
+
+        # counts up to COLUMNS are exact in single precision
+        out += (ones(at_a, row_a, len(a)) @ ones(at_b, row_b, len(b)).T).astype(np.int64)
+    return out
+
+
+def _stray_links(clusters: DataFrame, full: DataFrame) -> DataFrame:
+    """(u, v): one edge per class that is linked with a stray of its cluster."""
+    sets = full.select("id", "shingles").join(clusters, "id")
+    sets = stored(sets.select("cluster", "id", "stray", "shingles"), "cluster-sets")
+    size = F.sum(F.length("shingles")) / BLOCK_BYTES
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, size)).cast("int")
+    dealt = sets.groupBy("cluster").agg(blocks.alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = (
+        sets.join(dealt, "cluster")
+        .withColumn("own", own)
+        .withColumn("other", every)
+        .withColumns({"one": F.least("own", "other"), "two": F.greatest("own", "other")})
+        .select("cluster", "one", "two", "own", "id", "stray", "shingles")
+    )
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in frame["shingles"]]
+        sizes = np.array([len(s) for s in sets])
+        stray, side = frame["stray"].to_numpy(dtype=bool), (frame["own"] == frame["two"]).to_numpy()
+        same = frame["one"].iloc[0] == frame["two"].iloc[0]
+        u, v = [], []
+        # strays of one block with all of the other, then the other way round
+        for x in ([True] if same else [False, True]):
+            a = np.nonzero(stray & (side == x))[0]
+            b = np.nonzero(side == (x if same else not x))[0]
+            both = _intersections([sets[i] for i in a], [sets[i] for i in b])
+            alike = 100 * both >= SIMILAR * (sizes[a][:, None] + sizes[b][None, :] - both)
+            i, j = np.nonzero(alike)
+            u.append(a[i])
+            v.append(b[j])
+        root = forest(len(frame), np.concatenate(u), np.concatenate(v))
+        some = root != np.arange(len(frame))
+        ids = frame["id"].to_numpy()
+        return pd.DataFrame({"u": ids[some], "v": ids[root[some]]})
+
+    return rows.groupBy("cluster", "one", "two").applyInPandas(run, "u long, v long")
