@@ -42,7 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the packed token ids, their number, and whether they decode to the text."""
-    coded = bpe.decode(bpe.encode(docs, *tokenizer(), to="token_ids"), *tokenizer(), ids_col="token_ids", to="_decoded")
+    # one pass and one Python worker a core; the pass adds columns of its own names
+    coded = bpe.encode(docs, *tokenizer(), to="token_ids", decoded="_decoded")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.withColumns(
         {
