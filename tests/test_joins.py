@@ -163,3 +163,50 @@ def test_mismatch_ignores_null(spark):
     left = spark.createDataFrame([(1, "a", "h1"), (2, "a", "h2"), (3, "a", None)], "id int, l string, h string")
     right = spark.createDataFrame([("a", "h1")], "l string, h string")
     assert [r.id for r in joins.mismatches(left, right, "l", "h", "h").collect()] == [2]
+
+
+def test_asof_rows_do_not_multiply_with_versions(spark, shuffled_joins):
+    """1000 versions of one key: the plan has no join in which each fact would meet them all."""
+    dim = spark.range(1000).select(
+        F.lit("hot").alias("k"),
+        F.col("id").alias("v"),
+        F.timestamp_seconds(F.col("id") * 60).alias("valid_from"),
+        F.timestamp_seconds(F.col("id") * 60 + 60).alias("valid_to"),
+    )
+    fact = spark.range(30000).select("id", F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 2).alias("at"))
+    got = joins.asof_join(fact, dim, "k", "k", "at", ["v"], "valid_from", hot=[("hot", 8)])
+    assert got.filter(F.col("v") == F.floor(F.col("id") / 30)).count() == 30000
+    plan = _plan(got)
+    assert "SortMergeJoin" not in plan and "HashJoin [k" not in plan and "Window" in plan
+
+
+def test_asof_of_malformed_versions(spark):
+    dim = spark.sql(
+        """select * from values ('x', 1, timestamp '2024-01-01', timestamp '2024-03-01'),
+        ('x', 2, timestamp '2024-02-01', timestamp '2024-02-10'), ('x', 3, timestamp '2024-02-05', timestamp '2024-02-05'),
+        ('x', 4, timestamp '2024-02-01', timestamp '2024-02-03'), (null, 5, timestamp '2024-01-01', null) as t(k, v, s, e)"""
+    )
+    fact = spark.sql(
+        """select * from values (1, 'x', date '2024-02-02'), (2, 'x', date '2024-02-07'), (3, 'x', date '2024-02-20'),
+        (4, null, date '2024-02-20'), (5, 'x', date '2024-02-05') as t(id, k, at)"""
+    )
+    got = joins.asof_join(fact, dim, "k", "k", "at", ["v"], "s", "e")
+    # of overlapping versions the one begun last decides, and none holds after its end
+    assert {r.id: r.v for r in got.collect()} == {1: 2, 2: 2, 3: None, 4: None, 5: 2}
+
+
+def test_orphans_and_mismatches_cut_hot_keys(spark, folder, shuffled_joins):
+    child = spark.range(0, 60000, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.lit("h").alias("h")
+    )
+    parent = spark.range(100).select(F.concat(F.lit("p"), "id").alias("k"), F.lit("other").alias("h"))
+    hot = joins.hot_keys(child, {"k": "k"}, width=90)["k"]
+    known = parent.union(spark.createDataFrame([("hot", "g")], "k string, h string"))
+    assert joins.orphans(child, known, "k", "k", hot=hot).count() == 40000
+    found = joins.orphans(child, parent, "k", "k", hot=hot)
+    differ = joins.mismatches(child, known, "k", "h", "h", hot=hot)
+    for name, got, rows in (("orphans", found, 60000), ("mismatches", differ, 20000)):
+        got.withColumn("part", F.spark_partition_id()).write.parquet(f"{folder}/{name}")
+        out = spark.read.parquet(f"{folder}/{name}")
+        sizes = [r["count"] for r in out.filter("k = 'hot'").groupBy("part").count().collect()]
+        assert out.count() == rows and sum(sizes) == 20000 and len(sizes) == 8 and max(sizes) < 10000

@@ -164,3 +164,59 @@ def test_a_half_written_manifest_is_not_read(spark, folder):
     with open(f"{folder}/t/_manifests/0000000002.json", "w") as f:
         f.write('{"version": 2, "par')
     assert t.read().count() == 3
+
+
+@pytest.mark.parametrize("torn", ["", '{"version": 2, "par'])
+def test_a_crash_between_versions_blocks_nothing(spark, folder, torn):
+    t = PublishedTable(spark, f"{folder}/t", ["k"], 4)
+    t.merge(batch(spark, 0, 3, "a"))
+    with open(f"{folder}/t/_manifests/0000000002.json", "w") as f:
+        f.write(torn)
+    assert t.merge(batch(spark, 2, 5, "b"))
+    assert rows(t.read().select("k", "v")) == [(0, "a"), (1, "a"), (2, "b"), (3, "b"), (4, "b")]
+    assert t.manifest()["version"] == 3
+    with open(f"{folder}/t/_manifests/0000000004.json", "w") as f:
+        f.write(torn)
+    t.vacuum(keep=1)
+    assert t.merge(batch(spark, 5, 6, "c")) and t.manifest()["version"] == 5
+    assert t.read().count() == 6
+    empty = PublishedTable(spark, f"{folder}/u", ["k"], 4)
+    os.makedirs(f"{folder}/u/_manifests")
+    open(f"{folder}/u/_manifests/0000000001.json", "w").close()
+    assert not empty.exists() and empty.merge(batch(spark, 0, 2, "a")) and empty.read().count() == 2
+
+
+def test_a_batch_of_one_month_rewrites_one_part(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t", ["k"], 4, part_by=F.date_format("day", "yyyy-MM"))
+    day = lambda d: F.to_date(F.lit(d))
+    months = [f"2024-{m:02d}" for m in range(1, 13)]
+    year = spark.range(366).select(F.col("id").alias("k"), F.date_add(day("2024-01-01"), F.col("id").cast("int")).alias("day"))
+    t.merge(year.withColumn("v", F.lit("old")))
+    before = t.manifest()["parts"]
+    assert sorted(before) == months
+    t.merge(year.filter("k in (40, 45)").withColumn("v", F.lit("new")))  # February
+    after = t.manifest()["parts"]
+    assert [m for m in months if before[m] != after[m]] == ["2024-02"]
+    # a row that moves leaves its old month, which is rewritten as well
+    t.merge(year.filter("k = 40").select("k", day("2025-06-01").alias("day"), F.lit("moved").alias("v")))
+    last = t.manifest()["parts"]
+    assert [m for m in months if last[m] != after[m]] == ["2024-02"] and "2025-06" in last
+    got = {r.k: (str(r.day)[:7], r.v) for r in t.read().collect()}
+    assert len(got) == 366 and got[40] == ("2025-06", "moved") and got[45] == ("2024-02", "new")
+
+
+def test_closed_parts_of_an_older_type_are_read_as_the_newer(spark, folder):
+    t = PublishedTable(spark, f"{folder}/t")
+    now = lambda day: f"2025-01-0{day} 00:00:00"
+    steps = [
+        spark.createDataFrame([("x", 1)], "k string, v int"),
+        spark.createDataFrame([("x", 2)], "k string, v int"),
+        spark.createDataFrame([("x", "2")], "k string, v string"),  # the same value in another type
+        spark.createDataFrame([("x", "two")], "k string, v string"),
+        spark.createDataFrame([("x", ["two"], 7)], "k string, v array<string>, w int"),
+    ]
+    for day, source in enumerate(steps, 1):
+        t.roll(lambda old: scd2_apply(old, source, ["k"], ["v"], now(day)), F.col("valid_to").isNull())
+    got = [r.v for r in t.read().orderBy("valid_from").collect()]
+    assert got == ["1", "2", "two", '["two"]']
+    assert t.read(["open"]).filter("w = 7").count() == 1

@@ -1,6 +1,7 @@
 """Two full refreshes over a small clean feed, and a gate that stops a third."""
 
 import os
+import re
 from datetime import date
 
 import pytest
@@ -180,3 +181,31 @@ def test_calendar(spark):
     holidays = dates.filter("year = 2025 and is_us_federal_holiday").select(F.date_format("full_date", "MM-dd")).collect()
     assert sorted(r[0] for r in holidays) == "01-01 01-20 02-17 05-26 06-19 07-04 09-01 10-13 11-11 11-27 12-25".split()
     assert dates.filter("year = 2020 and is_us_federal_holiday").count() == 10
+
+
+def test_silver_reads_only_new_load_dates(spark, folder):
+    w = Warehouse(spark, f"{folder}/house", buckets=4)
+    event = lambda i, at, t="View": dict(
+        event_id=f"E-{i}", event_type=t, listing_id="L1", session_id="s1", event_timestamp=at, _stream_timestamp=at
+    )
+    for day in (1, 2, 3):
+        at = f"2025-01-0{day} 06:00:00"
+        rows = [event(10 * day + i, f"2025-0{day}-01T00:00:00Z") for i in range(3)]
+        rows.append(event(99, "2025-06-01T00:00:00Z", ("View", "click", "search")[day - 1]))  # comes again
+        w.run_bronze({"listing_events": feed(spark, "listing_events", at, *rows)})
+        new = w.new_bronze("listing_events")
+        if day > 1:
+            plan = new._jdf.queryExecution().executedPlan().toString()
+            assert re.search(r"PartitionFilters: \[isnotnull\(_load_date#\d+\), \(_load_date#\d+ >= 2025-01-0%d\)" % (day - 1), plan)
+            # the day of the mark is read again on purpose, the days before are not
+            assert new.count() == {2: 7, 3: 7}[day]
+        before = (w.table("silver_listing_events").manifest() or {"parts": {}})["parts"]
+        w.run_silver(["listing_events"])
+        after = w.table("silver_listing_events").manifest()["parts"]
+        if day == 3:  # the months of the mark's day, of the new rows and of the repeated row alone
+            assert {m for m in after if before.get(m) != after[m]} == {"2025-02", "2025-03", "2025-06"}
+    got = {r.event_id: r.event_type_clean for r in w.read("silver_listing_events").collect()}
+    assert len(got) == 10
+    whole = w.read("bronze_listing_events").count()
+    w.run_silver(["listing_events"])  # nothing new: the same rows once more
+    assert whole == 10 and w.read("silver_listing_events").count() == 10

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.functions.clean import KEY_TIME_FORMAT, version_key
 
@@ -44,6 +44,9 @@ def scd2_apply(
 
     Only open versions are joined, once; the changed pairs then yield two rows
     each. Closed versions pass by without a shuffle.
+
+    A column that is text on one side only becomes text, old versions included:
+    values are compared as text, and nothing of the history is lost to a cast.
     """
     now = _instant(run_ts)
     keys = list(keys)
@@ -51,6 +54,7 @@ def scd2_apply(
     if history is None:
         return fresh
 
+    history, fresh = _common_types(history, fresh)
     # schemas are fetched once: every look at `.columns` asks the JVM
     had, has, sourced = history.columns, fresh.columns, source.columns
     columns = [*had, *[c for c in sourced if c not in had]]
@@ -88,6 +92,28 @@ def scd2_apply(
     return closed.unionByName(staged.select(*out), allowMissingColumns=True)
 
 
+def _common_types(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both frames with the columns as text that are of two kinds; numbers stay numbers."""
+    kinds = {f.name: f.dataType for f in a.schema}
+    number = (T.NumericType,)
+    mixed = [
+        f.name
+        for f in b.schema
+        if f.name in kinds
+        and kinds[f.name] != f.dataType
+        and not (isinstance(kinds[f.name], number) and isinstance(f.dataType, number))
+    ]
+    if not mixed:
+        return a, b
+
+    def as_text(df: DataFrame) -> DataFrame:
+        plain = {f.name: isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema}
+        text = {c: F.to_json(c) if plain[c] else F.col(c).cast("string") for c in mixed}
+        return df.withColumns(text)
+
+    return as_text(a), as_text(b)
+
+
 def _slice_of(keys: Sequence[str], columns: Sequence[str]) -> Column:
     missing = F.lit(False)
     for k in keys:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from tidemark.operators.history import CEILING
 
@@ -131,7 +131,7 @@ def _slice(
     return fact, dim, match
 
 
-_HELPERS = ("_fact_key", "_dim_0", "_fact_slice", "_dim_slice", "_starts", "_ends")
+_HELPERS = ("_fact_key", "_dim_0", "_fact_slice", "_dim_slice")
 
 
 def _spread(fact: DataFrame, spread_by: str | Sequence[str] | None) -> list[str]:
@@ -212,17 +212,56 @@ def asof_join(
     spread_by: str | Sequence[str] | None = None,
     hot: HotKeys = (),
 ) -> DataFrame:
-    """Left join to the version valid at ``fact_ts``; windows are half open."""
-    side = dim.select(
+    """Every fact row with the version valid at ``fact_ts``; windows are half open.
+
+    Versions and facts of a key are put in one order of time and the version last
+    begun is carried forward to each fact, so rows grow with facts plus versions
+    and not with their product, however many versions a key has. A key in ``hot``
+    is cut into slices, of which each has all versions of the key and a share of
+    its facts. Where versions overlap, the one begun last holds (of those that
+    begin together, the one that ends last); a version without length or without
+    a key never holds.
+    """
+    versions = dim.select(
         F.col(dim_key).alias("_dim_0"),
         F.col(from_col).alias("_starts"),
         F.coalesce(F.col(to_col), F.lit(CEILING).cast("timestamp")).alias("_ends"),
         *[F.col(c).alias(name) for c, name in _named(cols).items()],
     )
+    versions = versions.filter(F.col("_dim_0").isNotNull() & (F.col("_starts") < F.col("_ends")))
     keyed = fact.withColumn("_fact_key", F.col(fact_key))
-    keyed, side, match = _slice(keyed, side, "_fact_key", hot, _spread(fact, spread_by))
-    within = (F.col(fact_ts) >= F.col("_starts")) & (F.col(fact_ts) < F.col("_ends"))
-    return keyed.join(side, match & within, "left").drop(*_HELPERS)
+    keyed, versions, _ = _slice(keyed, versions, "_fact_key", hot, _spread(fact, spread_by))
+    names, held = fact.columns, ["_ends", *_named(cols).values()]
+    carried = F.struct(*[F.col(c) for c in held])
+    kind = versions.select(carried.alias("v")).schema["v"].dataType
+    facts = keyed.select(
+        F.col("_fact_key").alias("_k"),
+        F.col("_fact_slice").alias("_s"),
+        F.col(fact_ts).alias("_at"),
+        F.lit(None).cast("timestamp").alias("_until"),
+        F.lit(None).cast(kind).alias("_version"),
+        F.lit(True).alias("_is_fact"),
+        *[F.col(c).alias(f"_f_{i}") for i, c in enumerate(names)],
+    )
+    begun = versions.select(
+        F.col("_dim_0").alias("_k"),
+        F.col("_dim_slice").alias("_s"),
+        F.col("_starts").alias("_at"),
+        F.col("_ends").cast("timestamp").alias("_until"),
+        carried.alias("_version"),
+        F.lit(False).alias("_is_fact"),
+    )
+    # a version that begins with the fact comes before it
+    order = Window.partitionBy("_k", "_s").orderBy("_at", "_is_fact", "_until")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    walked = facts.unionByName(begun, allowMissingColumns=True).withColumn(
+        "_now", F.last("_version", ignorenulls=True).over(so_far)
+    )
+    holds = F.col("_at") < F.col("_now")["_ends"]
+    return walked.filter("_is_fact").select(
+        *[F.col(f"_f_{i}").alias(c) for i, c in enumerate(names)],
+        *[F.when(holds, F.col("_now")[c]).alias(c) for c in held[1:]],
+    )
 
 
 def date_join(
@@ -250,12 +289,16 @@ def orphans(
     pk: str,
     keep_null: bool = True,
     spread_by: str | Sequence[str] | None = None,
+    hot: HotKeys = (),
 ) -> DataFrame:
-    """Child rows without a parent. ``keep_null`` counts a NULL key as an orphan."""
+    """Child rows without a parent. ``keep_null`` counts a NULL key as an orphan.
+
+    The rows of a key in ``hot`` are cut into slices that each look for the parent.
+    """
     rows = child if keep_null else child.filter(F.col(fk).isNotNull())
     keyed = rows.withColumn("_fact_key", F.col(fk))
     keys = parent.select(F.col(pk).alias("_dim_0"))
-    keyed, keys, match = _slice(keyed, keys, "_fact_key", (), _spread(rows, spread_by))
+    keyed, keys, match = _slice(keyed, keys, "_fact_key", hot, _spread(rows, spread_by))
     return keyed.join(keys, match, "left_anti").select(*rows.columns)
 
 
@@ -290,9 +333,17 @@ def role_violations(
 
 
 def mismatches(
-    left: DataFrame, right: DataFrame, on: str, left_col: str, right_col: str
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    left_col: str,
+    right_col: str,
+    spread_by: str | Sequence[str] | None = None,
+    hot: HotKeys = (),
 ) -> DataFrame:
     """Rows of ``left`` whose partner in ``right`` disagrees; NULL never disagrees."""
+    keyed = left.withColumn("_fact_key", F.col(on))
     side = _pick(right, [on], {right_col: "_other"})
-    match = (F.col(on) == F.col("_dim_0")) & (F.col(left_col) != F.col("_other"))
-    return left.join(side, match, "inner").drop("_dim_0", "_other")
+    keyed, side, match = _slice(keyed, side, "_fact_key", hot, _spread(left, spread_by))
+    differs = F.col(left_col) != F.col("_other")
+    return keyed.join(side, match & differs, "inner").select(*left.columns)

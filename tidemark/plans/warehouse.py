@@ -24,6 +24,7 @@ from tidemark.plans.layers import (
 )
 from tidemark.session import tune
 from tidemark.sources.calendar import END, START, date_dimension
+from tidemark.sources.changes import ChangeLog
 from tidemark.sources.landing import CORRUPT
 from tidemark.sources.raw import RawStore, stream_id
 from tidemark.sources.schemas import LANDING_FOLDERS, raw_schema
@@ -39,6 +40,10 @@ MONTH_OF = {
     "gold_fct_reviews": "reviewed_at",
     "gold_fct_listing_events": "event_timestamp",
     "gold_fct_sessions": "session_started_at",
+    # an upsert into these rewrites the months of its rows, not hash buckets of all months
+    "silver_bookings": "check_in_date",
+    "silver_reviews": "reviewed_at",
+    "silver_listing_events": "event_timestamp",
 }
 
 
@@ -57,6 +62,7 @@ class Warehouse:
         self.buckets = buckets
         self.calendar = calendar
         self.raw = RawStore(self.spark, f"{self.root}/raw")
+        self.changes = ChangeLog(self.spark, f"{self.root}/changes")
 
     def table(self, model: str) -> PublishedTable:
         layer, _, entity = model.partition("_")
@@ -110,9 +116,12 @@ class Warehouse:
             # the log decides what RAW takes; bronze takes the whole batch, since files that
             # another load put into RAW may lie below the mark this batch sets
             columns = [f.name for f in raw_schema(entity)]
+            if table.has_batch(batch_id, source):
+                return
             good = batch.filter(F.col(CORRUPT).isNull())
-            rows = good.select(*columns, "_source_file", "_loaded_at")
-            table.merge(BRONZE[entity].latest(rows), batch_id=batch_id, source=source)
+            rows = BRONZE[entity].latest(good.select(*columns, "_source_file", "_loaded_at"))
+            taken = self.changes.append(f"bronze_{entity}", rows, table.next_version())
+            table.merge(taken, batch_id=batch_id, source=source)
 
         path = f"{root.rstrip('/')}/{LANDING_FOLDERS[entity]}"
         schema = raw_schema(entity)
@@ -123,25 +132,38 @@ class Warehouse:
         """From RAW, above each table's mark; or from given frames."""
 
         def one(entity: str) -> None:
-            if raws is not None:
-                self._increment(f"bronze_{entity}", lambda mark: bronze(entity, raws[entity], mark))
-            elif self.raw.exists(entity):
-                self._increment(
-                    f"bronze_{entity}",
-                    lambda mark: bronze(entity, self.raw.read(entity, mark), mark),
-                )
+            table = self.table(f"bronze_{entity}")
+            mark = table.high_water(FIRST_MARK) if table.exists() else None
+            if raws is None and not self.raw.exists(entity):
+                return
+            raw = self.raw.read(entity, mark) if raws is None else raws[entity]
+            # silver reads what was taken in, not the whole table it went into
+            run = table.next_version()
+            table.merge(self.changes.append(f"bronze_{entity}", bronze(entity, raw, mark), run))
 
         self._together(one, list(BRONZE) if raws is None else list(raws))
 
-    def run_silver(self) -> None:
-        def one(entity: str) -> None:
-            source = self.table(f"bronze_{entity}").read()
-            if source is not None:
-                self._increment(f"silver_{entity}", lambda mark: silver(entity, source, mark))
+    def run_silver(self, entities: Sequence[str] = tuple(SILVER)) -> None:
+        """From bronze: all of it the first time, then its changes above each table's mark."""
 
-        self._together(one, list(SILVER))
-        bookings = self.read("silver_bookings")
-        self._rebuild("quarantine_invalid_bookings", quarantine_invalid_bookings(bookings))
+        def one(entity: str) -> None:
+            rows = self.new_bronze(entity)
+            if rows is not None:
+                table = self.table(f"silver_{entity}")
+                table.merge(silver(entity, rows, table.high_water(FIRST_MARK) if table.exists() else None))
+
+        self._together(one, entities)
+        if "bookings" in entities:
+            bookings = self.read("silver_bookings")
+            self._rebuild("quarantine_invalid_bookings", quarantine_invalid_bookings(bookings))
+
+    def new_bronze(self, entity: str) -> DataFrame | None:
+        """The bronze rows that silver has not seen; only their load dates are listed."""
+        model, table = f"bronze_{entity}", self.table(f"silver_{entity}")
+        source = self.table(model).read()
+        if source is None or not table.exists() or not self.changes.exists(model):
+            return source
+        return self.changes.since(model, source.schema, BRONZE[entity].keys, table.high_water(FIRST_MARK))
 
     def run_snapshots(self, run_ts: str | datetime) -> None:
         """Only open versions are read and written; closed ones stay as they are."""
@@ -211,11 +233,6 @@ class Warehouse:
             for done in [pool.submit(inheritable_thread_target(self.spark)(step), n) for n in names]:
                 done.result()
 
-    def _increment(self, model: str, build) -> None:
-        table = self.table(model)
-        mark = table.high_water(FIRST_MARK) if table.exists() else None
-        table.merge(build(mark))
-
     def _rebuild(self, model: str, df: DataFrame) -> None:
         self.table(model).overwrite(df)
 

@@ -18,6 +18,8 @@ _RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Bounds what a Python worker holds of long texts at a time.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # The JVM never compiles methods above 8000 bytes. Projections as wide as the
     # cleaning ones pass that as one fused method and would run interpreted;
     # below the limit Spark splits them into compilable ones.

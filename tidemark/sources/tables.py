@@ -1,11 +1,14 @@
 """Parquet tables published version by version.
 
-A publish writes new files beside the old ones and then creates one small
-manifest, exclusively, that says which folder holds each part. Readers follow the
-newest whole manifest, so they never see half a write, and a plan may read the
-table it replaces. Parts are hash buckets of the key (a merge rewrites those its
-batch touches), a given column such as a month (``part_by``), or the open and
-closed versions of a history (:meth:`PublishedTable.roll`).
+A publish writes new files beside the old ones and then moves one small manifest
+into place that says which folder holds each part. Readers follow the newest
+manifest, so they never see half a write, and a plan may read the table it
+replaces. Parts are hash buckets of the key, values of a given column such as a
+month (``part_by``), or the open and closed versions of a history
+(:meth:`PublishedTable.roll`). A merge rewrites the parts its batch touches: with
+``part_by`` those of the batch's own rows and of the stored rows they replace, so a
+batch of one day leaves all other days alone. A part remembers the schema it was
+written with and is cast when it is read.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -78,7 +82,11 @@ class PublishedTable:
             stream.close()
 
     def exists(self) -> bool:
-        return bool(self._manifest_versions())
+        return self.manifest() is not None
+
+    def next_version(self) -> int:
+        """Above every version on disk, also one that a crash left torn."""
+        return max(self._manifest_versions(), default=0) + 1
 
     def read(self, buckets: Sequence[int] | None = None) -> DataFrame | None:
         """Current contents, or those of some key buckets; None before the first publish."""
@@ -87,13 +95,18 @@ class PublishedTable:
 
     def _frame(self, now: dict, buckets: Sequence[int] | None) -> DataFrame:
         schema = T.StructType.fromJson(now["schema"])
-        wanted = now["parts"] if buckets is None else {
-            str(b): now["parts"][str(b)] for b in buckets if str(b) in now["parts"]
-        }
-        folders = [f"{self.path}/{p}" for p in wanted.values()]
-        if not folders:
+        parts = [p for p in now["parts"] if buckets is None or p in {str(b) for b in buckets}]
+        written: dict[str, list[str]] = {}  # parts of one schema are one scan
+        for p in parts:
+            own = now.get("older", {}).get(p, now["schema"])
+            written.setdefault(json.dumps(own), []).append(f"{self.path}/{now['parts'][p]}")
+        if not written:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
+        frames = []
+        for own, folders in written.items():
+            df = self.spark.read.schema(T.StructType.fromJson(json.loads(own))).parquet(*folders)
+            frames.append(df if len(written) == 1 and df.schema == schema else _cast(df, schema))
+        return reduce(DataFrame.unionAll, frames)
 
     def high_water(self, default: datetime) -> datetime:
         """Greatest ``mark_col`` ever published, from the manifest alone."""
@@ -120,7 +133,7 @@ class PublishedTable:
         """
         now = self.manifest()
         before = None if now is None else self._frame(now, ["open"])
-        version = 1 if now is None else now["version"] + 1
+        version = self.next_version()
         part = F.when(open_when, F.lit("open")).otherwise(F.lit(f"closed{version}"))
         kept = {b: p for b, p in (now or {"parts": {}})["parts"].items() if b != "open"}
         self._publish(step(before), now, kept, None, part=part)
@@ -150,14 +163,18 @@ class PublishedTable:
             batch.write.parquet(staged_at)
             staged = self.spark.read.schema(batch.schema).parquet(staged_at)
             require_unique(staged, self.keys)
-            # at most `buckets` small integers
-            touched = sorted(r[0] for r in staged.select(self._bucket_of()).distinct().collect())
+            # at most `buckets` small integers, or the values of `part_by` in the batch
+            touched = staged.select(self._bucket_of().alias("p"))
+            if self.part_by is not None:
+                stored = self._frame(now, None).select(*self.keys, self._bucket_of().alias("p"))
+                touched = touched.union(stored.join(staged.select(*self.keys), self.keys, "left_semi").select("p"))
+            touched = sorted(str(r[0]) for r in touched.distinct().collect())
             change = schema_changes(self._frame(now, []), staged)
             # a part that is kept would bring a removed column back when it is added again
             if change["retyped"] or change["removed"] or now["buckets"] != self.buckets:
                 touched, kept = None, {}
             else:
-                kept = {b: p for b, p in now["parts"].items() if int(b) not in set(touched)}
+                kept = {b: p for b, p in now["parts"].items() if b not in set(touched)}
             merged = merge_upsert(self._frame(now, touched), staged, self.keys, order_guard)
             self._publish(merged, now, kept, batch_id, source)
         finally:
@@ -166,12 +183,15 @@ class PublishedTable:
 
     def vacuum(self, keep: int = 2) -> int:
         """Delete version folders that none of the last ``keep`` manifests use."""
-        versions = self._manifest_versions()
-        used = {
-            part.rsplit("/", 1)[0]
-            for v in versions[-keep:]
-            for part in self._load(v)["parts"].values()
-        }
+        versions, whole = self._manifest_versions(), {}
+        for v in reversed(versions):
+            try:
+                whole[v] = self._load(v)["parts"]
+            except ValueError:  # torn by a crash
+                continue
+            if len(whole) == keep:
+                break
+        used = {part.rsplit("/", 1)[0] for parts in whole.values() for part in parts.values()}
         newest = max((p.split("/", 1)[1] for p in used), default="")
         removed = 0
         data = self._hadoop_path(f"{self.path}/data")
@@ -180,10 +200,14 @@ class PublishedTable:
             # folders newer than every used one may belong to a running publish
             if f"data/{name}" not in used and name < newest:
                 removed += bool(self._fs.delete(status.getPath(), True))
-        for v in versions[:-keep]:
+        for v in [v for v in versions if v < min(whole, default=0)]:
             self._fs.delete(self._hadoop_path(self._manifest_path(v)), False)
         return removed
 
+    def has_batch(self, batch_id: int | None, source: str = "") -> bool:
+        """Whether ``source`` published that batch before."""
+        return self._already(self.manifest(), batch_id, source)
+
     def _already(self, now: dict | None, batch_id: int | None, source: str) -> bool:
         last = (now or {}).get("batches", {}).get(source)
         if batch_id is None or last is None:
@@ -209,7 +233,7 @@ class PublishedTable:
         verify: bool = False,
         part: Column | None = None,
     ) -> None:
-        version = 1 if now is None else now["version"] + 1
+        version = self.next_version()
         folder = f"data/v{version:010d}-{_token(self.spark)}"
         # A rebalance evens out file sizes: small buckets share tasks, a large
         # bucket is divided over several.
@@ -231,6 +255,7 @@ class PublishedTable:
             "buckets": self.buckets,
             "parts": parts,
             "schema": df.schema.jsonValue(),
+            "older": self._older(now, kept, df.schema.jsonValue()),
             "batches": {
                 **(now or {}).get("batches", {}),
                 **({source: batch_id} if batch_id is not None else {}),
@@ -248,18 +273,48 @@ class PublishedTable:
         best = max(new, datetime.fromisoformat(old)) if old else new
         return None if best == default else best.isoformat()
 
+    def _older(self, now: dict | None, kept: dict, schema: dict) -> dict:
+        """The schemas of kept parts that differ from the table's."""
+        before = {p: (now or {}).get("older", {}).get(p, (now or {}).get("schema")) for p in kept}
+        return {p: s for p, s in before.items() if s != schema}
+
     def _commit(self, version: int, text: str) -> None:
+        """Write the manifest aside and move it into place whole; of two writers, one fails."""
         final = self._hadoop_path(self._manifest_path(version))
-        try:  # creation is exclusive: of two writers, one fails
-            stream = self._fs.create(final, False)
-        except Exception as taken:
-            if self._fs.exists(final):
-                raise ConcurrentPublish(f"{self.path} version {version}") from taken
-            raise
+        aside = self._hadoop_path(f"{self.path}/_manifests/.{version}-{_token(self.spark)}")
+        stream = self._fs.create(aside, False)
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:
             stream.close()
+        sc = self.spark.sparkContext
+        files = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self._fs.getUri(), sc._jsc.hadoopConfiguration()
+        )
+        keep = sc._gateway.new_array(getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:  # without the overwrite option a name that is taken raises
+            files.rename(aside, final, keep)
+        except Exception as taken:
+            self._fs.delete(aside, False)
+            if self._fs.exists(final):
+                raise ConcurrentPublish(f"{self.path} version {version}") from taken
+            raise
+
+
+def _cast(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the columns and types of ``schema``; a value that does not fit is NULL."""
+    own = {f.name: f.dataType for f in df.schema}
+
+    def column(f: T.StructField) -> Column:
+        if f.name not in own:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        if own[f.name] == f.dataType:
+            return F.col(f.name)
+        nested = isinstance(own[f.name], (T.ArrayType, T.MapType, T.StructType))
+        text = nested and isinstance(f.dataType, T.StringType)
+        return (F.to_json(f.name) if text else F.col(f.name).try_cast(f.dataType)).alias(f.name)
+
+    return df.select(*[column(f) for f in schema])
 
 
 def _token(spark: SparkSession) -> str:

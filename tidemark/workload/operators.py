@@ -455,6 +455,37 @@ def asof_hot_key(src):
     )
 
 
+# One key has a version for every day on which orders came in, thousands in all.
+_DAILY = f"""select 1 as k, year(d) * 10000 + month(d) * 100 + day(d) as version, d as starts, d + interval 1 day as ends
+from (select distinct cast(o_orderdate as timestamp) as d from orders) x
+union all select k, version, cast(starts as timestamp), cast(ends as timestamp) from ({_VERSIONS}) y where k <> 1"""
+
+
+@query(
+    "asof_many_versions",
+    f"""select f.line_id, f.fk, v.version from ({_SKEWED}) f left join ({_DAILY}) v
+on f.fk = v.k and f.at >= v.starts and (v.ends is null or f.at < v.ends)""",
+)
+def asof_many_versions(src):
+    fact, dim = src.sql(_SKEWED), src.sql(_DAILY)
+    hot = joins.hot_keys(fact, {"fk": "fk"})["fk"]
+    return joins.asof_join(fact, dim, "fk", "k", "at", ["version"], "starts", "ends", hot=hot).select(
+        "line_id", "fk", "version"
+    )
+
+
+@query(
+    "orphans_hot_key",
+    f"select line_id, fk from ({_SKEWED}) x left join (select o_orderkey from orders where o_orderkey % 2 = 1) o "
+    "on fk = o_orderkey where o_orderkey is null",
+)
+def orphans_hot_key(src):
+    child = src.sql(_SKEWED).select("line_id", "fk")
+    odd = src.table("orders").filter("o_orderkey % 2 = 1")
+    hot = joins.hot_keys(child, {"fk": "fk"})["fk"]
+    return joins.orphans(child, odd, "fk", "o_orderkey", hot=hot)
+
+
 @query(
     "lookup_mixed_types",
     f"select f.line_id, f.fk, o.o_totalprice from ({_SKEWED}) f left join orders o on f.fk = o.o_orderkey",
