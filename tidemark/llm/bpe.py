@@ -44,12 +44,17 @@ _SETTLED = 2
 
 @dataclass
 class Stretch:
-    """An encoded stretch of a text, with the places where its pieces start."""
+    """An encoded stretch of a text that begins at ``at``, with the places in the text where its pieces start."""
 
+    at: int
     text: str
     ids: list[int]
     starts: list[int] = field(repr=False)
 
+    @property
+    def end(self) -> int:
+        return self.at + len(self.text)
+
 
 class Codec:
     """Encoder and decoder for one vocabulary file and split pattern."""
@@ -71,8 +76,12 @@ class Codec:
     def _encode(self, text: str) -> list[int]:
         return self._library.encode_ordinary(text)
 
-    def stretch(self, text: str) -> Stretch:
-        return Stretch(text, self._encode(text), [m.start() for m in self._pieces.finditer(text)])
+    def stretch(self, text: str, at: int = 0) -> Stretch:
+        return Stretch(at, text, self._encode(text), [at + m.start() for m in self._pieces.finditer(text)])
+
+    def _size(self, part: Stretch, edges: list[int]) -> int:
+        """Tokens of the pieces of ``part`` between ``edges``."""
+        return sum(len(self._encode(part.text[s - part.at : e - part.at])) for s, e in zip(edges, edges[1:]))
 
     def join(self, a: Stretch, b: Stretch) -> Stretch:
         if not a.text:
@@ -80,53 +89,51 @@ class Codec:
         if not b.text:
             return a
         # first piece of `a` that is not settled
-        ends = a.starts[1:] + [len(a.text)]
-        first = len(a.starts)
-        while first and ends[first - 1] + _SETTLED > len(a.text):
+        first, edge = len(a.starts), a.end
+        while first and edge + _SETTLED > a.end:
             first -= 1
-        open_at = a.starts[first] if first < len(a.starts) else len(a.text)
-        dropped_left = sum(
-            len(self._encode(a.text[s:e])) for s, e in zip(a.starts[first:], ends[first:])
-        )
-        tail, reach = a.text[open_at:], FIRST_WINDOW
+            edge = a.starts[first]
+        open_at = a.starts[first] if first < len(a.starts) else a.end
+        dropped_left = self._size(a, [*a.starts[first:], a.end])
+        tail, reach = a.text[open_at - a.at :], FIRST_WINDOW
         while True:
             window = tail + b.text[:reach]
             whole = reach >= len(b.text)
-            met, pieces = len(b.text), []
+            met, pieces = b.end, []
             for m in self._pieces.finditer(window):
                 if not whole and m.end() + _SETTLED > len(window):
                     met = -1  # not settled: the window must grow
                     break
                 pieces.append(m.start())
-                at = m.end() - len(tail)
-                if at >= 0:
+                at = open_at + m.end()
+                if at >= b.at:
                     k = bisect_left(b.starts, at)
                     if k < len(b.starts) and b.starts[k] == at:
                         met = at
                         break
             else:
-                met = len(b.text) if whole else -1
+                met = b.end if whole else -1
             if met >= 0:
                 break
             reach *= 2
         # piece by piece: what follows the last one must not be forgotten
-        ends = [*pieces[1:], len(tail) + met]
+        ends = [*pieces[1:], met - open_at]
         middle = [i for s, e in zip(pieces, ends) for i in self._encode(window[s:e])]
         k = bisect_left(b.starts, met)
-        heads = b.starts[:k] + [met]
-        dropped_right = sum(len(self._encode(b.text[s:e])) for s, e in zip(heads, heads[1:]))
+        dropped_right = self._size(b, [*b.starts[:k], met])
         kept = len(a.ids) - dropped_left
         return Stretch(
+            a.at,
             a.text + b.text,
             a.ids[:kept] + middle + b.ids[dropped_right:],
-            a.starts[:first] + [open_at + s for s in pieces] + [len(a.text) + s for s in b.starts[k:]],
+            a.starts[:first] + [open_at + s for s in pieces] + b.starts[k:],
         )
 
-    def reduce(self, text: str) -> Stretch:
+    def reduce(self, text: str, at: int = 0) -> Stretch:
         if len(text) <= self.leaf:
-            return self.stretch(text)
+            return self.stretch(text, at)
         half = len(text) // 2
-        return self.join(self.reduce(text[:half]), self.reduce(text[half:]))
+        return self.join(self.reduce(text[:half], at), self.reduce(text[half:], at + half))
 
     def encode(self, text: str | None) -> list[int]:
         if not text:

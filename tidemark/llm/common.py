@@ -16,7 +16,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once below the shared folder: later plans start from files."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames that :func:`stored` returned, once nothing reads them any more."""
+    for df in frames:
+        session = df.sparkSession
+        target = session.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        target.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

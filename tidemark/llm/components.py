@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -31,9 +31,12 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (u, v); component is its least node."""
     now = edges.select("u", "v").filter("u <> v").distinct()
-    before = None
+    before, last = None, None
     while True:
         now = stored(_small(_large(now)).filter("u <> v").distinct(), "stars")
+        if last is not None:
+            discard(last)  # a step reads the one before only
+        last = now
         mark = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(mark) == before:
             break

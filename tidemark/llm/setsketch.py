@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 from tidemark.llm.components import components, forest
 
 REGISTERS = 256
@@ -318,6 +318,7 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
         label = _connected(shared, full)
     finally:
         full.unpersist()
+    discard(shared)
     rooted = stored(
         classes.select("set_key", "id", "least")
         .join(label, F.col("id") == F.col("node"), "left")
@@ -326,6 +327,7 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
     )
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     known = rooted.join(lowest, "root").select("set_key", "component_id")
+    discard(classes)
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
         sketched.select("doc_id", "text_hash", "n_shingles", "set_key")
@@ -344,7 +346,13 @@ def _connected(shared: DataFrame, full: DataFrame) -> DataFrame:
     pairs = stored(_nearest(met.filter("a <> b")), "hub-pairs")
     links = stored(_verified(_likely(pairs, full), full), "links")
     label = components(links)
-    found = stored(_stray_links(_clusters(shared, label), full), "stray-links")
+    discard(pairs, links)
+    clusters = _clusters(shared, label)
+    discard(shared)
+    sets = full.select("id", "shingles").join(clusters, "id")
+    sets = stored(sets.select("cluster", "id", "stray", "shingles"), "cluster-sets")
+    found = stored(_stray_links(sets), "stray-links")
+    discard(clusters, sets)
     if not found.head(1):
         return label
     # earlier links are as good as one link per node to its component
@@ -352,7 +360,7 @@ def _connected(shared: DataFrame, full: DataFrame) -> DataFrame:
 
 
 def _clusters(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """(cluster, id, stray) of the classes in bands that hold several components."""
+    """(cluster, id, stray), written, of the classes in bands that hold several components."""
     labelled = stored(
         shared.join(label, F.col("id") == F.col("node"), "left").select(
             "band", "id", "company", F.coalesce("component", "id").alias("component")
@@ -373,10 +381,13 @@ def _clusters(shared: DataFrame, label: DataFrame) -> DataFrame:
         F.bool_or(F.col("component") != F.col("home")).alias("stray")
     )
     members = stored(members, "mixed")
+    discard(labelled)
     joined = components(members.select(F.col("id").alias("u"), F.col("hub").alias("v")))
     joined = joined.groupBy("node").agg(F.min("component").alias("cluster"))
     strays = members.groupBy("id").agg(F.bool_or("stray").alias("stray"))
-    return strays.join(joined, F.col("id") == F.col("node")).select("cluster", "id", "stray")
+    out = stored(strays.join(joined, F.col("id") == F.col("node")).select("cluster", "id", "stray"), "clusters")
+    discard(members)
+    return out
 
 
 def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -409,10 +420,11 @@ def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _stray_links(clusters: DataFrame, full: DataFrame) -> DataFrame:
-    """(u, v): one edge per class that is linked with a stray of its cluster."""
-    sets = full.select("id", "shingles").join(clusters, "id")
-    sets = stored(sets.select("cluster", "id", "stray", "shingles"), "cluster-sets")
+def _stray_links(sets: DataFrame) -> DataFrame:
+    """(u, v): one edge per class that is linked with a stray of its cluster.
+
+    ``sets`` (cluster, id, stray, shingles) is a written table.
+    """
     size = F.sum(F.length("shingles")) / BLOCK_BYTES
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, size)).cast("int")
     dealt = sets.groupBy("cluster").agg(blocks.alias("blocks"))
