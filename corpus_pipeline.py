@@ -8,6 +8,7 @@ columns of ``docs``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, language, mixing, pii, setsketch
@@ -41,9 +42,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the packed token ids, their number, and whether they decode to the text."""
+    """Adds the packed token ids, their number, whether they decode to the text, and the order.
+
+    The order is that of the mix: ``shard`` is the number of the file that holds the
+    row, ``shard_row`` its place there. Both are NULL for rows that come from no file.
+    """
     # one pass and one Python worker a core; the pass adds columns of its own names
-    coded = bpe.encode(docs, *tokenizer(), to="token_ids", decoded="_decoded")
+    coded = bpe.encode(_in_file_order(docs), *tokenizer(), to="token_ids", decoded="_decoded")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.withColumns(
         {
@@ -53,6 +58,17 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ).drop("_decoded")
 
 
+def _in_file_order(docs: DataFrame) -> DataFrame:
+    """Adds where the sorted files hold a row; Spark itself reads files in any order."""
+    number = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1)
+    order = {"shard": number.try_cast("int"), "shard_row": F.col("_metadata.row_index")}
+    try:
+        return docs.withColumns(order)
+    except AnalysisException:  # no files behind these rows
+        nothing = F.lit(None)
+        return docs.withColumns({"shard": nothing.cast("int"), "shard_row": nothing.cast("long")})
+
+
 STAGES = [
     ("language_id", identify_language),
     ("near_dedup", drop_near_duplicates),
