@@ -206,6 +206,8 @@ def mix(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The mix itself: every copy of a taken document, range-sorted by position.
 
     The columns are those of ``docs``; a document that is taken twice is there twice.
+    Copies of one position follow by id, then by a hash of their text, so that a rerun
+    gives the same order.
     """
     listed = stored(sizes(docs, text_col), "mix-sizes")
     offsets, buckets = queue_offsets(listed, **options)
@@ -213,4 +215,5 @@ def mix(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     size = F.size(words(F.col(text_col))).cast("long").alias("size")
     rows = with_digest(docs.select("doc_id", "source", size, whole))
     copies = place(rows, offsets, buckets).select("_row", F.explode("positions").alias("_position"))
-    return copies.orderBy("_position").select("_row.*")
+    row = F.col("_row")
+    return copies.orderBy("_position", row["doc_id"], F.xxhash64(row[text_col])).select("_row.*")
