@@ -4,9 +4,11 @@ Base entities (e-mail, IP address, card, phone) are regular expressions with a
 validity test. They seed the bootstrap: every identifier-like string of the corpus
 is a node, every lexical context (two words before; one before and one after) is
 another, and an edge counts how often they meet. Scores run over the graph: a
-pattern is as reliable as the instances it holds, an unseen instance as the
-patterns it stands in. Patterns with a high score and enough different seeds label
-the unseen instances of the right shape in the texts.
+pattern is as reliable as the share of its places that labelled instances take, an
+unseen instance of the right shape as the best pattern it stands in. Instances that
+reach the score are seeds of the next round, so they support patterns that hold no
+base entity. Patterns with a high score and enough different seeds label the unseen
+instances in the texts.
 
 Every step is built-in column functions, groupings and joins. Regular expressions
 are possessive and begin only where a run begins, so they are linear in the text
@@ -14,21 +16,22 @@ and do not recurse. Edges are counted before they are joined, and a frequent
 context is only ever summed.
 
 Defined results: a NULL text is an empty one; rows that repeat an id with another
-text are told apart by a hash of the text; a row repeated as a whole gets the same
-result each time; columns of the input that clash with added ones are replaced.
+text are told apart by a hash of the text; a row repeated as a whole counts every
+time and gets the same result each time; columns of the input that clash with added ones are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, let, stored
 
 KINDS = ("email", "ip", "card", "phone")
 ALPHA = 1.0  # doubt added to every pattern's denominator
-ROUNDS = 2
+ROUNDS = 6
 MIN_SCORE = 0.8
 MIN_SEEDS = 5
 
@@ -41,8 +44,9 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-# an identifier-like token, with the digit groups that follow it
-_CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [(+]?[0-9]\S*+)*+"
+# a token with an @ (base entities are masked by it), or one with a digit and the digit groups behind it
+_GROUP = r"[0-9][^\s@]*+(?!\S)"
+_CANDIDATE = rf"(?<!\S)(?:[^\s@]*+@\S*+|[^\s0-9@]*+{_GROUP}(?: [(+]?{_GROUP})*+)"
 _SPAN = "array<struct<start:int,rank:int,end:int,text:string>>"
 _FOUND = "array<struct<start:int,end:int,text:string,left:string,right:string>>"
 
@@ -105,8 +109,15 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*[_matches(text, p, kind) for kind, p in PATTERNS.items()]))
 
 
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with every character of ``spans`` turned into @, so that places stay."""
+    return F.when(F.size(spans) == 0, text).otherwise(
+        _replaced(text, spans, lambda s, at: F.repeat(F.lit("@"), s["end"] - at))
+    )
+
+
 def candidates(text: Column) -> Column:
-    """Identifier-like strings with their places and the words around them."""
+    """Identifier-like strings of a masked text with their places and the words around them."""
     found = F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(0))
     pieces = F.split(text, _CANDIDATE, -1)
     after = F.slice(pieces, 2, F.size(pieces))
@@ -144,12 +155,13 @@ def scan(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Dat
     """(doc_id, _h, base, found): what the regular expressions see in every row; stored."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"))
-    rows = rows.select(
-        "doc_id",
-        F.xxhash64("_text").alias("_h"),
-        base_spans(F.col("_text")).alias("base"),
-        candidates(F.col("_text")).alias("found"),
+    text = F.col("_text")
+    base = let(
+        base_spans(text),
+        lambda b: F.struct(b.alias("base"), let(masked(text, b), candidates).alias("found")),
     )
+    rows = rows.select("doc_id", F.xxhash64("_text").alias("_h"), base.alias("_all"))
+    rows = rows.select("doc_id", "_h", "_all.base", "_all.found")
     return stored(rows, "pii-scan")
 
 
@@ -157,62 +169,65 @@ def occurrences(scanned: DataFrame) -> DataFrame:
     """One row per identifier-like string: place, instance, contexts, seed kind or NULL."""
     rows = scanned.filter(F.size("found") > 0).select("doc_id", "_h", "base", F.explode("found").alias("c"))
     inside = F.filter("base", lambda s: (s["start"] < F.col("c.end")) & (s["end"] > F.col("c.start")))
-    words = F.split(F.trim(F.regexp_replace("c.left", r"\s+", " ")), " ")
+    left, right = (F.regexp_replace(f"c.{side}", "@+", "@") for side in ("left", "right"))
+    words = F.split(F.trim(F.regexp_replace(left, r"\s+", " ")), " ")
     one = F.element_at(words, -1)
     before = F.when(F.size(words) == 2, F.concat(F.lit("< "), F.concat_ws(" ", words)))
     around = F.when(
-        (one != "") & (F.col("c.right") != ""), F.concat(F.lit("<> "), one, F.lit(" "), F.col("c.right"))
+        (one != "") & (right != ""), F.concat(F.lit("<> "), one, F.lit(" "), right)
     )
+    entity = F.get(inside, F.lit(0))
     return rows.select(
         "doc_id",
         "_h",
         F.col("c.start").alias("start"),
         F.col("c.text").alias("text"),
-        F.lower("c.text").alias("instance"),
+        F.lower(F.coalesce(entity["text"], F.col("c.text"))).alias("instance"),
         F.array_compact(F.array(before, around)).alias("contexts"),
-        F.get(inside, F.lit(0))["rank"].alias("seed"),
+        entity["rank"].alias("seed"),
     )
 
 
 def reliable_patterns(seen: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(pattern, kind, score, seeds) of the patterns that may label what they surround."""
-    edges = stored(
+    counted = stored(
         seen.select("instance", "seed", F.explode("contexts").alias("pattern"))
         .groupBy("pattern", "instance")
         .agg(F.count(F.lit(1)).alias("n"), F.min("seed").alias("seed")),
         "pii-edges",
     )
-    seeded = edges.filter("seed is not null").select("pattern", "instance", F.col("seed").alias("kind"), "n")
-    total = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    support = seeded.groupBy("pattern", "kind").agg(
-        F.sum("n").cast("double").alias("mass"), F.count(F.lit(1)).alias("seeds")
-    )
-    support = stored(support.join(total, "pattern"), "pii-support")
-    patterns = support.withColumn("score", F.col("mass") / (F.col("total") + settings.alpha))
-    unseen = edges.filter("seed is null").select("pattern", "instance", "n")
-    weight = unseen.groupBy("instance").agg(F.sum("n").alias("all"))
-    for _ in range(settings.rounds):
-        # instances: the mean score of the patterns they stand in
-        given = (
-            unseen.join(patterns.select("pattern", "kind", "score"), "pattern")
-            .groupBy("instance", "kind")
-            .agg(F.sum(F.col("n") * F.col("score")).alias("sum"))
-            .join(weight, "instance")
-            .select("instance", "kind", (F.col("sum") / F.col("all")).alias("r"))
-        )
-        # patterns: seeds count whole, unseen instances by their score
-        extra = (
-            unseen.join(given, "instance")
+    total = counted.groupBy("pattern").agg(F.sum("n").alias("total"))
+    # only instances of a kind's shape can be of the kind; all others count in `total` alone
+    kinds = F.filter(F.array(*[F.lit(k) for k in range(len(KINDS))]), lambda k: _shaped(k, F.col("instance")))
+    kind = F.explode(F.when(F.col("seed").isNotNull(), F.array("seed")).otherwise(kinds))
+    named = counted.select("pattern", "instance", "n", "seed", kind.alias("kind"))
+    edges = stored(named.join(total, "pattern"), "pii-shaped")
+    unseen = edges.filter("seed is null")
+
+    def supported(labels: DataFrame | None) -> DataFrame:
+        weighed = edges.withColumn("w", F.when(F.col("seed").isNotNull(), F.lit(1.0)))
+        if labels is not None:
+            grown = labels.select("instance", "kind", "r")
+            weighed = edges.join(grown, ["instance", "kind"], "left").withColumn(
+                "w", F.when(F.col("seed").isNotNull(), F.lit(1.0)).otherwise(F.col("r"))
+            )
+        # sums of fractions differ in their last places from run to run
+        score = F.round(F.sum(F.col("n") * F.col("w")) / (F.first("total") + settings.alpha), 9)
+        return (
+            weighed.filter("w > 0")
             .groupBy("pattern", "kind")
-            .agg(F.sum(F.col("n") * F.col("r")).alias("extra"))
+            .agg(score.alias("score"), F.count_if(F.col("w") >= settings.min_score).alias("seeds"))
         )
-        patterns = stored(
-            support.join(extra, ["pattern", "kind"], "left").withColumn(
-                "score",
-                (F.col("mass") + F.coalesce("extra", F.lit(0.0))) / (F.col("total") + settings.alpha),
-            ),
-            "pii-patterns",
+
+    patterns = stored(supported(None), "pii-patterns")
+    for _ in range(settings.rounds):
+        labels = (
+            unseen.join(patterns, ["pattern", "kind"])
+            .groupBy("instance", "kind")
+            .agg(F.max("score").alias("r"))
         )
+        earlier, patterns = patterns, stored(supported(labels), "pii-patterns")
+        discard(earlier)
     good = (F.col("score") >= settings.min_score) & (F.col("seeds") >= settings.min_seeds)
     return patterns.filter(good).select("pattern", "kind", "score", "seeds")
 
@@ -276,18 +291,15 @@ def spelled(spans: Column) -> Column:
     )
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with every span (overlapping ones together) replaced by its kind."""
-    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+def _replaced(text: Column, spans: Column, new: Callable[[Column, Column], Column]) -> Column:
+    """``text`` with ``new(span, at)`` for what each span adds to those before it, up to ``at``."""
 
     def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        piece = F.concat(
-            F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.element_at(names, s["rank"] + 1)
-        )
+        kept = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        at = F.greatest(acc["at"], s["start"])
         return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(new, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"),
+            F.concat(acc["out"], kept, new(s, at)).alias("out"),
         )
 
     return F.aggregate(
@@ -298,6 +310,16 @@ def redacted(text: Column, spans: Column) -> Column:
     )
 
 
+def redacted(text: Column, spans: Column) -> Column:
+    """``text`` with every span (overlapping ones together) replaced by its kind."""
+    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+    return _replaced(
+        text,
+        spans,
+        lambda s, at: F.when(s["start"] == at, F.element_at(names, s["rank"] + 1)).otherwise(""),
+    )
+
+
 def redact(
     docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", settings: Settings = Settings()
 ) -> DataFrame:
