@@ -116,12 +116,13 @@ class Warehouse:
             # the log decides what RAW takes; bronze takes the whole batch, since files that
             # another load put into RAW may lie below the mark this batch sets
             columns = [f.name for f in raw_schema(entity)]
-            if table.has_batch(batch_id, source):
-                return
-            good = batch.filter(F.col(CORRUPT).isNull())
-            rows = BRONZE[entity].latest(good.select(*columns, "_source_file", "_loaded_at"))
-            taken = self.changes.append(f"bronze_{entity}", rows, table.next_version())
-            table.merge(taken, batch_id=batch_id, source=source)
+            if not table.has_batch(batch_id, source):
+                good = batch.filter(F.col(CORRUPT).isNull())
+                rows = BRONZE[entity].latest(good.select(*columns, "_source_file", "_loaded_at"))
+                taken = self.changes.append(f"bronze_{entity}", rows, table.next_version())
+                table.merge(taken, batch_id=batch_id, source=source)
+            mine = F.col("load") == f"{source}-{batch_id}"
+            self.raw.take(f"bronze_{entity}", self.raw.loads(entity).filter(mine))
 
         path = f"{root.rstrip('/')}/{LANDING_FOLDERS[entity]}"
         schema = raw_schema(entity)
@@ -129,41 +130,51 @@ class Warehouse:
 
     # ---- layers -------------------------------------------------------------
     def run_bronze(self, raws: Mapping[str, DataFrame] | None = None) -> None:
-        """From RAW, above each table's mark; or from given frames."""
+        """From RAW, the loads each table has not taken; or from given frames, above its mark."""
 
         def one(entity: str) -> None:
-            table = self.table(f"bronze_{entity}")
+            model = f"bronze_{entity}"
+            table = self.table(model)
             mark = table.high_water(FIRST_MARK) if table.exists() else None
-            if raws is None and not self.raw.exists(entity):
-                return
-            raw = self.raw.read(entity, mark) if raws is None else raws[entity]
             # silver reads what was taken in, not the whole table it went into
             run = table.next_version()
-            table.merge(self.changes.append(f"bronze_{entity}", bronze(entity, raw, mark), run))
+            if raws is not None:
+                table.merge(self.changes.append(model, bronze(entity, raws[entity], mark), run))
+                return
+            loads = self.raw.pending(entity, model) if self.raw.exists(entity) else None
+            if loads is None or loads.isEmpty():
+                return
+            rows = bronze(entity, self.raw.read(entity, loads=loads))
+            guard = _late(loads, "stamped", mark)
+            table.merge(self.changes.append(model, rows, run), order_guard=guard)
+            self.raw.take(model, loads)
 
         self._together(one, list(BRONZE) if raws is None else list(raws))
 
     def run_silver(self, entities: Sequence[str] = tuple(SILVER)) -> None:
-        """From bronze: all of it the first time, then its changes above each table's mark."""
+        """From bronze: all of it the first time, then what later bronze runs took in."""
 
         def one(entity: str) -> None:
-            rows = self.new_bronze(entity)
-            if rows is not None:
-                table = self.table(f"silver_{entity}")
-                table.merge(silver(entity, rows, table.high_water(FIRST_MARK) if table.exists() else None))
+            now, table = self.table(f"bronze_{entity}").manifest(), self.table(f"silver_{entity}")
+            if now is None or self.changes.seen(f"silver_{entity}") == now["version"]:
+                return
+            rows = self.new_bronze(entity, now["version"])
+            mark = table.high_water(FIRST_MARK) if table.exists() else None
+            table.merge(silver(entity, rows), order_guard=_late(rows, "_loaded_at", mark))
+            self.changes.saw(f"silver_{entity}", now["version"])
 
         self._together(one, entities)
         if "bookings" in entities:
             bookings = self.read("silver_bookings")
             self._rebuild("quarantine_invalid_bookings", quarantine_invalid_bookings(bookings))
 
-    def new_bronze(self, entity: str) -> DataFrame | None:
-        """The bronze rows that silver has not seen; only their load dates are listed."""
-        model, table = f"bronze_{entity}", self.table(f"silver_{entity}")
-        source = self.table(model).read()
-        if source is None or not table.exists() or not self.changes.exists(model):
+    def new_bronze(self, entity: str, upto: int) -> DataFrame:
+        """The bronze rows, up to run ``upto``, that silver has not seen; only their runs are listed."""
+        model, source = f"bronze_{entity}", self.read(f"bronze_{entity}")
+        seen = self.changes.seen(f"silver_{entity}")
+        if seen is None or not self.changes.exists(model):
             return source
-        return self.changes.since(model, source.schema, BRONZE[entity].keys, table.high_water(FIRST_MARK))
+        return self.changes.after(model, source.schema, BRONZE[entity].keys, seen, upto)
 
     def run_snapshots(self, run_ts: str | datetime) -> None:
         """Only open versions are read and written; closed ones stay as they are."""
@@ -237,6 +248,16 @@ class Warehouse:
         self.table(model).overwrite(df)
 
 
+def _late(rows: DataFrame, stamp: str, mark: datetime | None) -> str | None:
+    """The order column, if some of ``rows`` are older than what a table holds already.
+
+    A slow load is taken after later ones; its rows must not replace theirs.
+    """
+    if mark is None or not rows.agg(F.min(stamp) < F.lit(mark)).first()[0]:
+        return None
+    return "_loaded_at"
+
+
 MODELS = (
     *[f"bronze_{e}" for e in BRONZE],
     *[f"silver_{e}" for e in SILVER],

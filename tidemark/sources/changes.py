@@ -1,14 +1,14 @@
 """What a layer took in, run by run: the next layer reads this instead of whole tables.
 
-Rows are stored by load date and by the run that took them in, so a reader that has
-seen all up to some load time lists only the dates from there on. The rows of a run
-replace themselves when the run is repeated.
+Rows are stored by load date and by the run that took them in. Runs are numbered as
+they commit, so a reader remembers the last run it has seen and lists only the folders
+of later ones, whatever load times their rows bear. The rows of a run replace
+themselves when the run is repeated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -40,9 +40,22 @@ class ChangeLog:
     def exists(self, model: str) -> bool:
         return path_exists(self.spark, f"{self.root}/{model}")
 
-    def since(self, model: str, schema: T.StructType, keys: Sequence[str], mark: datetime) -> DataFrame:
-        """Rows loaded from ``mark`` on, per key those of the last run; earlier dates are not listed."""
-        at = F.lit(mark).cast("timestamp")
+    def after(
+        self, model: str, schema: T.StructType, keys: Sequence[str], seen: int, upto: int
+    ) -> DataFrame:
+        """Rows of the runs above ``seen`` up to ``upto``, per key those of the last run."""
         rows = self._stored(model, schema)
-        new = rows.filter((F.col("_load_date") >= F.to_date(at)) & (F.col("_loaded_at") >= at))
+        new = rows.filter((F.col("_run") > F.lit(seen)) & (F.col("_run") <= F.lit(upto)))
         return keep_latest(new, keys, ["_run"]).select(*schema.names)
+
+    def seen(self, reader: str) -> int | None:
+        """The last run that ``reader`` has stored, None when it is not known."""
+        path = f"{self.root}/_seen/{reader}"
+        if not path_exists(self.spark, path):
+            return None
+        return self.spark.read.schema("run long").parquet(path).agg(F.max("run")).first()[0]
+
+    def saw(self, reader: str, run: int) -> None:
+        """Remember ``run``. A crash in here forgets it: the reader then reads all again."""
+        mark = self.spark.range(1).select(F.lit(run).cast("long").alias("run"))
+        mark.write.mode("overwrite").parquet(f"{self.root}/_seen/{reader}")

@@ -4,6 +4,10 @@ One function appends a parsed batch, streamed or not: good rows to
 ``raw_<entity>`` by load date, unreadable lines to ``raw_bad``, and one row per
 file to ``load_log``. The load time is stamped once, when the file is appended, so
 reading again shows the same time, and incremental readers skip whole dates.
+
+A load is stamped when it begins and logged when all its rows are stored, so two
+loads may be logged in another order than their stamps tell. Readers therefore
+remember which loads they have taken (:meth:`RawStore.pending`), not a time.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.audit import freshness_by, load_audit, load_log
-from tidemark.session import path_exists
+from tidemark.session import path_exists, scratch
 from tidemark.sources.landing import CORRUPT
 from tidemark.sources.schemas import raw_schema
 
@@ -22,6 +26,7 @@ LOG_SCHEMA = (
     "file_name string, last_load_time timestamp, row_count long, error_count long, status string, "
     "load_date date, entity string, load string"
 )
+LOAD_SCHEMA = "load_date date, load string"
 BAD_SCHEMA = "_source_file string, _loaded_at timestamp, _corrupt_record string, load_date date, entity string, load string"
 
 
@@ -79,16 +84,43 @@ class RawStore:
     def exists(self, entity: str) -> bool:
         return path_exists(self.spark, f"{self.root}/raw_{entity}")
 
-    def read(self, entity: str, mark: datetime | None = None) -> DataFrame:
-        """The rows of ``entity``, from ``mark`` on; earlier load dates are not listed."""
+    def read(
+        self, entity: str, mark: datetime | None = None, loads: DataFrame | None = None
+    ) -> DataFrame:
+        """The rows of ``entity``, from ``mark`` on or of ``loads``; earlier load dates are not listed."""
         fields = [*self._columns(entity).fields, T.StructField("_source_file", T.StringType())]
         fields += [T.StructField("_loaded_at", T.TimestampType()), T.StructField("load_date", T.DateType())]
         rows = self._stored(f"raw_{entity}", T.StructType([*fields, T.StructField("load", T.StringType())]))
         if mark is not None:
             since = F.lit(mark).cast("timestamp")
             rows = rows.filter((F.col("load_date") >= F.to_date(since)) & (F.col("_loaded_at") >= since))
+        if loads is not None:
+            first = loads.agg(F.min("load_date")).first()[0]
+            rows = rows.filter(F.col("load_date") >= F.lit(first).cast("date"))
+            rows = rows.join(loads.select("load_date", "load"), ["load_date", "load"], "left_semi")
         return rows.drop("load_date", "load")
 
+    def loads(self, entity: str) -> DataFrame:
+        """(load_date, load, stamped) of every load of ``entity`` that the log names."""
+        mine = self.log().filter(F.col("entity") == entity)
+        return mine.groupBy("load_date", "load").agg(F.min("last_load_time").alias("stamped"))
+
+    def pending(self, entity: str, reader: str) -> DataFrame:
+        """The loads of ``entity`` that ``reader`` has not taken.
+
+        Stored, so that a load which is logged meanwhile is not taken for read.
+        """
+        taken = self._stored(f"taken/{reader}", LOAD_SCHEMA)
+        new = self.loads(entity).join(taken, ["load_date", "load"], "left_anti")
+        path = scratch(self.spark, "pending")
+        new.write.parquet(path)
+        return self.spark.read.schema(new.schema).parquet(path)
+
+    def take(self, reader: str, loads: DataFrame) -> None:
+        """Remember that ``reader`` has stored the rows of ``loads``; call it after they are."""
+        rows = loads.select("load_date", "load").coalesce(1)
+        rows.write.mode("append").parquet(f"{self.root}/taken/{reader}")
+
     def bad_lines(self) -> DataFrame:
         return self._stored("raw_bad", BAD_SCHEMA)
 
