@@ -247,3 +247,15 @@ def test_version_key_text_is_fixed_width(spark):
 def test_literal_ordinal_pattern_can_be_given(spark):
     df = spark.createDataFrame([("August 21st, 2025",)], "x string")
     assert df.select(c.clean_date(F.col("x"), ordinal_pattern="(st|nd|rd|th),?")).first()[0] is None
+
+
+def test_identifiers_keep_ascii_letters_and_digits_alone(spark):
+    # the quick class must drop what [^a-zA-Z0-9] drops, also outside ASCII
+    text = "".join(chr(i) for i in [*range(1, 0x250), 0x0660, 0x2163, 0xFF21, 0x1D7D8]) + "\n_Z9"
+    got = spark.createDataFrame([(text,)], "x string").select(c.clean_id(F.col("x"))).first()[0]
+    assert got == "".join(ch for ch in text if ch.isascii() and ch.isalnum()).lower()
+
+
+def test_identifiers_are_not_matched_by_a_slow_class(spark):
+    plan = spark.range(1).select(F.lit("a").alias("x")).select(c.clean_id(F.col("x")).alias("y"))
+    assert "[^a-zA-Z0-9]" not in plan._jdf.queryExecution().analyzed().toString()

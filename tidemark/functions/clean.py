@@ -73,7 +73,8 @@ def flag(condition: Column) -> Column:
 
 # ---- identifiers and keys ---------------------------------------------------
 def clean_id(x: Column) -> Column:
-    return F.lower(F.regexp_replace(x, "[^a-zA-Z0-9]", ""))
+    # \P{Alnum} is [^a-zA-Z0-9], which Java matches several times slower
+    return F.lower(F.regexp_replace(x, r"\P{Alnum}", ""))
 
 
 def clean_booking_id(x: Column) -> Column:
