@@ -121,11 +121,11 @@ def fct_bookings(
 ) -> DataFrame:
     """Valid bookings with the listing and host versions of the booking time."""
     valid = bookings.filter(F.col("is_date_valid"))
-    versions = (("listing_id", listings, LISTING_AT_BOOKING), ("host_id", hosts, HOST_AT_BOOKING))
-    j = valid
+    # the join that adds the most columns comes last: its columns are shuffled once
+    j = lookup_join(valid, guests, "guest_id", "guest_id", ["guest_key"], hot=hot.get("guest_id", ()))
+    versions = (("host_id", hosts, HOST_AT_BOOKING), ("listing_id", listings, LISTING_AT_BOOKING))
     for key, dim, cols in versions:
         j = asof_join(j, dim, key, key, "booked_at", cols, hot=hot.get(key, ()))
-    j = lookup_join(j, guests, "guest_id", "guest_id", ["guest_key"], hot=hot.get("guest_id", ()))
     j = date_join(j, dim_date, "check_in_date", {"date_key": "check_in_date_key"}, days)
     total, stay = F.col("calculated_total_price"), F.col("calculated_nights")
     lead = c.lead_days(F.col("booked_at"), F.col("check_in_date"))
@@ -171,14 +171,15 @@ def fct_reviews(
     current_hosts = hosts.filter(F.col("is_current_record"))
     key = "booking_id_clean"
     j = lookup_join(public, bookings, key, key, ["booking_key"], hot=hot.get(key, ()))
-    shown = ["listing_key", "listing_name", "room_type", "neighborhood", "city"]
-    key = "listing_id"
-    j = current_join(j, listings, key, key, shown, hot=hot.get(key, ()))
     for dim, roles, key, found in (
         (current_hosts, REVIEW_HOST, "host_id", "host_key"),
         (guests, REVIEW_GUEST, "guest_id", "guest_key"),
     ):
         j = role_join(j, dim, "review_type", roles, key, [found], hot=hot.get(key, ()))
+    # the join that adds the most columns comes last: its columns are shuffled once
+    shown = ["listing_key", "listing_name", "room_type", "neighborhood", "city"]
+    key = "listing_id"
+    j = current_join(j, listings, key, key, shown, hot=hot.get(key, ()))
     j = date_join(j, dim_date, "reviewed_at", {"date_key": "reviewed_date_key"}, days)
     sub_ratings = [F.col(r) for r in RATINGS if r != "overall_rating"]
     return j.select(
@@ -212,8 +213,8 @@ def fct_listing_events(
         "price_per_night": "current_listing_price",
     }
     listing, guest = "listing_id", "guest_id"
-    j = current_join(events, listings, listing, listing, shown, hot=hot.get(listing, ()))
-    j = lookup_join(j, guests, guest, guest, ["guest_key"], hot=hot.get(guest, ()))
+    j = lookup_join(events, guests, guest, guest, ["guest_key"], hot=hot.get(guest, ()))
+    j = current_join(j, listings, listing, listing, shown, hot=hot.get(listing, ()))
     j = date_join(j, dim_date, "event_timestamp", {"date_key": "event_date_key"}, days)
     return j.select(
         c.surrogate_key(F.col("event_id")).alias("event_key"),
