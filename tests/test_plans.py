@@ -42,3 +42,39 @@ def test_scans_read_only_what_is_asked(spark):
 def test_filters_reach_the_scan(spark):
     plan = plan_of(contract.queries()["predicates"](spark, SF_DIR))
     assert re.search(r"PushedFilters: .*StringCon", plan)
+
+
+def test_feeds_are_read_in_splits_that_sort_in_memory(spark, folder):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "128m")
+        QUERIES["bronze_reviews"](spark, SF_DIR)
+        assert spark.conf.get(name) == "8m"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_widest_join_of_a_fact_comes_last(spark, monkeypatch):
+    from tidemark.plans import gold
+
+    called = []
+    for name in ("lookup_join", "role_join", "current_join", "date_join"):
+        join = getattr(gold, name)
+        monkeypatch.setattr(gold, name, lambda *a, join=join, name=name, **k: (called.append(name), join(*a, **k))[1])
+    rows = spark.sql(
+        "select 'r' as review_id, 'b' as booking_id_clean, 'l' as listing_id, 'x' as reviewer_id, 'y' as reviewee_id, "
+        "'guest_to_host' as review_type, true as is_public, timestamp '2024-01-01' as reviewed_at, 't' as review_text, "
+        "'u' as response_text, " + ", ".join(f"1d as {r}" for r in gold.RATINGS)
+    )
+    listings = spark.sql(
+        "select 'l' as listing_id, true as is_current_record, 'k' as listing_key, 'n' as listing_name, 'a' as room_type, "
+        "'h' as neighborhood, 'c' as city"
+    )
+    hosts = spark.sql("select 'y' as host_id, true as is_current_record, 'hk' as host_key")
+    guests = spark.sql("select 'x' as guest_id, 'gk' as guest_key")
+    days = spark.sql("select date '2024-01-01' as full_date, 20240101 as date_key")
+    fact = spark.sql("select 'b' as booking_id_clean, 'bk' as booking_key")
+    out = gold.fct_reviews(rows, fact, listings, hosts, guests, days)
+    assert out.select("listing_key", "host_key", "guest_key", "booking_key", "city").first() == ("k", "hk", "gk", "bk", "c")
+    assert called == ["lookup_join", "role_join", "role_join", "current_join", "date_join"]

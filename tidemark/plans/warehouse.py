@@ -22,7 +22,7 @@ from tidemark.plans.layers import (
     silver,
     snapshot,
 )
-from tidemark.session import tune
+from tidemark.session import tune_feeds
 from tidemark.sources.calendar import END, START, date_dimension
 from tidemark.sources.changes import ChangeLog
 from tidemark.sources.landing import CORRUPT
@@ -57,7 +57,7 @@ class Warehouse:
         buckets: int = 64,
         calendar: tuple[str, str] = (START, END),
     ):
-        self.spark = tune(spark)
+        self.spark = tune_feeds(spark)
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.calendar = calendar

@@ -27,6 +27,12 @@ _RUNTIME = {
 }
 
 
+# Bytes of a file that one task reads. The raw feeds are many times as wide in memory
+# as their columns are on disk, and keep-latest sorts a task's rows before the
+# shuffle: with Spark's 128 MB that sort grows with the file to several GB a task.
+_FEED_SPLIT = "8m"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime options to ``spark`` and return it."""
     for name, value in _RUNTIME.items():
@@ -35,6 +41,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tune_feeds(spark: SparkSession) -> SparkSession:
+    """:func:`tune`, and splits small enough for sorting wide feeds in memory."""
+    name = "spark.sql.files.maxPartitionBytes"
+    if tune(spark).conf.get(name) != _FEED_SPLIT:
+        spark.conf.set(name, _FEED_SPLIT)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediates.
 

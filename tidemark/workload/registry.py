@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.session import tune
+from tidemark.session import tune_feeds
 from tidemark.workload.adapters import Source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,7 @@ def query(name: str, oracle: str | None = None):
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(fn(Source(tune(spark), sf_dir)))
+            return plain(fn(Source(tune_feeds(spark), sf_dir)))
 
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
