@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidemark.workload.registry import QUERIES
@@ -78,3 +79,20 @@ def test_widest_join_of_a_fact_comes_last(spark, monkeypatch):
     out = gold.fct_reviews(rows, fact, listings, hosts, guests, days)
     assert out.select("listing_key", "host_key", "guest_key", "booking_key", "city").first() == ("k", "hk", "gk", "bk", "c")
     assert called == ["lookup_join", "role_join", "role_join", "current_join", "date_join"]
+
+
+def test_feed_rows_are_dealt_evenly_however_few_row_groups_hold_them(spark, folder, monkeypatch):
+    from tidemark.workload import adapters
+
+    monkeypatch.setattr(adapters, "FEED_ROWS", 100)
+    spark.sql(
+        "select id as p_partkey, 'red blue' as p_name, 'b' as p_brand, 't' as p_type, cast(id % 9 as int) as p_size, "
+        "cast(id as double) as p_retailprice from range(0, 950, 1, 1)"
+    ).write.parquet(f"{folder}/part.parquet")
+    spark.range(3).withColumnRenamed("id", "s_suppkey").write.parquet(f"{folder}/supplier.parquet")
+    source = adapters.Source(spark, folder)
+    feed = source.raw("listings", (0,))
+    sizes = [r["n"] for r in feed.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 10 and sum(sizes) == 950 and max(sizes) < 200
+    assert feed.select("listing_id").distinct().count() == 950
+    assert "Exchange" not in plan_of(source.sql("select * from part"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -413,6 +413,21 @@ def x_hist_batch(b: int) -> str:
     )
 
 
+# The table whose rows a feed spells out.
+FEED_OF = {
+    "hosts": "supplier",
+    "listings": "part",
+    "guests": "customer",
+    "bookings": "orders",
+    "reviews": "lineitem",
+    "availability_calendar": "lineitem",
+    "listing_events": "events",
+}
+# Rows of that table in one task. Feed rows are many times as wide, and keep-latest
+# sorts those of a task: read as they lie, a row group is one task, however large.
+FEED_ROWS = 100_000
+
+
 class Source:
     """The given tables of one folder, read when first asked for."""
 
@@ -420,10 +435,22 @@ class Source:
         self.spark = spark
         self.sf_dir = sf_dir
         self._known: set[str] = set()
+        self._dealt: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def dealt(self, name: str) -> DataFrame:
+        """The table, dealt evenly over tasks of ``FEED_ROWS`` rows by their places in the files."""
+        if name not in self._dealt:
+            rows = self.table(name)
+            tasks = -(-rows.count() // FEED_ROWS)
+            if tasks > 1:
+                placed = rows.withColumn("_place", F.col("_metadata.row_index"))
+                rows = placed.repartition(tasks, "_place").drop("_place")
+            self._dealt[name] = rows
+        return self._dealt[name]
+
     def sql(self, text: str) -> DataFrame:
         """Run an adapter text over temp views of the tables it names."""
         for name in set(re.findall(r"\b(?:from|join)\s+(\w+)", text)) & set(BASE_TABLES):
@@ -432,5 +459,11 @@ class Source:
                 self._known.add(name)
         return self.spark.sql(text)
 
-    def raw(self, entity: str) -> DataFrame:
-        return self.sql(RAW[entity]())
+    def raw(self, entity: str, loads=None) -> DataFrame:
+        text = RAW[entity]() if loads is None else RAW[entity](loads)
+        name = FEED_OF[entity]
+        self.dealt(name).createOrReplaceTempView(name)
+        self._known.add(name)
+        out = self.sql(text)
+        self._known.remove(name)  # other texts read the table as it lies
+        return out
