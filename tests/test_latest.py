@@ -2,9 +2,12 @@
 
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import high_water, keep_latest, since
+from tidemark.plans import layers
+from tidemark.sources.schemas import RAW_COLUMNS as COLUMNS
 
 
 def _plan(df):
@@ -58,3 +61,26 @@ def test_high_water_default(spark):
     default = datetime(2000, 1, 1, tzinfo=timezone.utc)
     empty = spark.sql("select current_timestamp() as t where false")
     assert high_water(empty, "t", default) == default and high_water(None, "t", default) == default
+
+
+@pytest.mark.parametrize("entity", sorted(layers.SILVER))
+def test_silver_of_raw_is_silver_of_bronze_for_one_shuffle(spark, entity):
+    key = layers.BRONZE[entity].keys[0]
+    number = F.col("id")
+    # spellings of a key, rows that tie in all times, and rows without key
+    spelled = F.element_at(F.array(*map(F.lit, ("A-1", "a1", "BKG-1", "bkg_1", "A-2"))), (number % 5 + 1).cast("int"))
+    names = [*COLUMNS[entity], *layers.LINEAGE]
+    values = {x: F.concat(F.lit("1"), (F.hash("id", F.lit(x)) % 3).cast("string")) for x in names}
+    values |= {
+        key: F.when(number % 7 > 0, spelled),
+        "calendar_date": F.when(number % 11 > 0, F.lit("2024-01-02")),
+        "updated_at": F.when(number % 4 > 0, F.lit("2024-01-03T00:00:00Z")),
+        "_stream_timestamp": F.when(number % 3 > 0, F.lit("2024-01-03T00:00:00Z")),
+        "_loaded_at": F.timestamp_seconds(F.lit(1700000000) + number % 2),
+    }
+    raw = spark.range(400, numPartitions=5).select(*[values[x].alias(x) for x in names])
+    got = layers.silver_of_raw(entity, raw)
+    want = layers.silver(entity, layers.bronze(entity, raw))
+    assert _plan(got).count("Exchange") == 1 < _plan(want).count("Exchange")
+    assert got.schema == want.schema
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

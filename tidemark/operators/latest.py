@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "_row_rank"
 _HASH = "_key_hash"
+PLACE = "_place_"
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
@@ -39,6 +40,33 @@ def keep_latest(
     return hashed.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK, _HASH)
 
 
+def newest(df: DataFrame, keys: Sequence[str | Column], order_cols: Sequence[str | Column]) -> DataFrame:
+    """All rows that tie for the greatest by ``order_cols`` of their key, NULL first.
+
+    Rows that are not among them are cut before the shuffle as in :func:`keep_latest`.
+    The keys stay in columns that begin with ``PLACE``; the rows of a key are in one
+    task, so :func:`one_of` chooses within them without another shuffle.
+    """
+    named = {f"{PLACE}{i}": _column(k) for i, k in enumerate(keys)}
+    # the hash is compared first, as in keep_latest
+    placed = df.withColumn(f"{PLACE}hash", F.xxhash64(*named.values())).withColumns(named)
+    order = [c.desc_nulls_first() for c in map(_column, order_cols)]
+    rank = F.rank().over(Window.partitionBy(*places(placed)).orderBy(*order))
+    return placed.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def one_of(df: DataFrame, keys: Sequence[str], ties: Sequence[str]) -> DataFrame:
+    """Of the rows of :func:`newest`, one per place and ``keys``, by a hash over ``ties``."""
+    order = F.xxhash64(*ties).desc_nulls_first()
+    rank = F.row_number().over(Window.partitionBy(*places(df), *keys).orderBy(order))
+    return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
+
+
+def places(df: DataFrame) -> list[str]:
+    """The columns of ``df`` that :func:`newest` has added."""
+    return [c for c in df.columns if c.startswith(PLACE)]
+
+
 def high_water(df: DataFrame | None, mark_col: str, default: datetime) -> datetime:
     """Greatest ``mark_col`` as an aware datetime; ``default`` on no rows.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import clean as c
 from tidemark.operators.history import scd2_apply
-from tidemark.operators.latest import keep_latest, since
+from tidemark.operators.latest import keep_latest, newest, one_of, places, since
 from tidemark.operators.shape import quarantine
 
 LINEAGE = ("_loaded_at", "_stream_timestamp", "_source_file")
@@ -30,9 +30,11 @@ class Layer:
     keys: tuple[str, ...]
     newest_by: tuple[str, ...] = ()
 
+    def order(self) -> list[Column]:
+        return [*[c.clean_ts(F.col(x)) for x in self.newest_by], _streamed(), F.col("_loaded_at")]
+
     def latest(self, df: DataFrame) -> DataFrame:
-        order = [c.clean_ts(F.col(x)) for x in self.newest_by]
-        return keep_latest(df, self.keys, [*order, _streamed(), "_loaded_at"])
+        return keep_latest(df, self.keys, self.order())
 
 
 BRONZE = {
@@ -61,6 +63,29 @@ def silver(entity: str, bronze_rows: DataFrame, mark: datetime | None = None) ->
     return SILVER[entity].latest(cleaned)
 
 
+# How a canonical key is read from a raw row; any other is an identifier of the same name.
+_KEYS = {
+    "booking_id_clean": (c.clean_booking_id, "booking_id"),
+    "calendar_date": (c.clean_iso_date, "calendar_date"),
+}
+
+
+def silver_of_raw(entity: str, raw: DataFrame) -> DataFrame:
+    """The rows of ``silver(entity, bronze(entity, raw))``, for one shuffle instead of two.
+
+    Both layers order by the same times, and all spellings of a key share its
+    canonical form. So what is newest by these times within the canonical key holds
+    the row that both choose in the end; ties are settled as they do, first within the raw
+    key by the raw row, then by the cleaned one.
+    """
+    columns = raw.columns
+    keys = [fn(F.col(x)) for fn, x in (_KEYS.get(k, (c.clean_id, k)) for k in SILVER[entity].keys)]
+    latest = one_of(newest(raw, keys, BRONZE[entity].order()), BRONZE[entity].keys, columns)
+    cleaned = _CLEANERS[entity](latest)
+    columns = [x for x in cleaned.columns if x not in places(cleaned)]
+    return one_of(cleaned, (), columns).select(columns)
+
+
 # ---- silver column lists ----------------------------------------------------
 # Values that several expressions use are parsed into `_name` columns first, so
 # that they are computed once per row.
@@ -82,6 +107,11 @@ def _finish(fn, *names: str) -> list[Column]:
     return [fn(F.col(f"_{n}")).alias(n) for n in names]
 
 
+def _lineage(df: DataFrame) -> list[str]:
+    """Lineage, and where ``silver_of_raw`` has placed the row."""
+    return [*LINEAGE, *places(df)]
+
+
 def _same(x: Column) -> Column:
     return x
 
@@ -103,7 +133,7 @@ def clean_hosts(df: DataFrame) -> DataFrame:
         c.flag(lost_count).alias("has_listings_count_discrepancy"),
         *_apply(c.parse_list, "host_verifications"),
         *_trimmed("host_location"),
-        *LINEAGE,
+        *_lineage(df),
     )
 
 
@@ -146,7 +176,7 @@ def clean_listings(df: DataFrame) -> DataFrame:
         *_apply(c.clean_int, "number_of_reviews"),
         *_finish(c.read_date, "last_review_date"),
         c.below(F.col("minimum_nights"), 0, inclusive=True).alias("is_data_quality_issue"),
-        *LINEAGE,
+        *_lineage(df),
     )
 
 
@@ -166,7 +196,7 @@ def clean_guests(df: DataFrame) -> DataFrame:
         *_apply(c.nonneg_int, "total_trips"),
         c.guest_rating(F.col("average_rating_as_guest"), trips).alias("average_rating_as_guest"),
         c.below(trips, 0).alias("is_data_quality_issue"),
-        *LINEAGE,
+        *_lineage(df),
     )
 
 
@@ -205,7 +235,7 @@ def clean_bookings(df: DataFrame) -> DataFrame:
         c.price_mismatch(F.col("_total_price"), summed).alias("is_price_mismatch"),
         *_apply(c.clean_ts, "booked_at", "updated_at"),
         (bad_children | c.flag(end < start)).alias("is_data_quality_issue"),
-        *LINEAGE,
+        *_lineage(df),
     )
 
 
@@ -235,7 +265,7 @@ def clean_reviews(df: DataFrame) -> DataFrame:
         *_apply(c.null_response, "response_text"),
         *_apply(c.clean_bool, "is_public"),
         *_apply(c.clean_ts, "reviewed_at"),
-        *LINEAGE,
+        *_lineage(df),
     )
 
 
@@ -247,7 +277,7 @@ def clean_calendar(df: DataFrame) -> DataFrame:
         *_apply(c.clean_price, "price_on_date"),
         *_apply(c.clean_int, "minimum_nights_override", "maximum_nights_override"),
         *_trimmed("notes"),
-        *LINEAGE,
+        *_lineage(df),
     )
 
 
@@ -271,7 +301,7 @@ def clean_events(df: DataFrame) -> DataFrame:
         c.position_invalid(F.col("position_in_results")).alias("is_position_invalid"),
         F.col("guest_id").isNull().alias("is_anonymous"),
         *_apply(c.clean_ts, "event_timestamp"),
-        *LINEAGE,
+        *_lineage(df),
     )
 
 
