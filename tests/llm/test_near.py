@@ -48,3 +48,17 @@ def test_strays_against_brute_force(spark, monkeypatch, block):
     rows = families()
     got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == brute(rows)
+
+
+def test_texts_are_shuffled_once_for_the_rows_that_stay(spark):
+    texts = families()[:20]
+    rows = [*texts, *texts[:5], (None, "no id at all"), (None, "no id at all"), (0, "no id at all"), (7, None), (8, "")]
+    out = setsketch.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), words=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(doc#") == 1
+    known = {i for i, r in brute(texts) if i == r}
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in out.collect()), key=repr)
+    # the row without id, and of two texts of id 0 the one of its own and the base
+    want = [(False, i, t) for i, t in texts if i in known]
+    want += [(True, 0, "no id at all"), (False, 0, "no id at all"), (False, 7, None), (False, 8, "")]
+    assert got == sorted(want, key=repr)

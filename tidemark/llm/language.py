@@ -92,8 +92,24 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+Counts = list[tuple[np.ndarray, np.ndarray]]  # of a row: hashed n-grams and how often each occurs
+
+
+def _dense(counts: Counts) -> np.ndarray:
+    out = np.zeros((len(counts), len(ORDERS) << BITS), dtype=np.float32)
+    for row, (at, n) in zip(out, counts):
+        row[at] = n
+    return out
+
+
+def _shares(counts: Counts) -> np.ndarray:
+    out = _dense(counts)
+    out /= np.maximum(out.sum(axis=1, keepdims=True), 1)
+    return out
+
+
 def fit(
-    counts: np.ndarray,
+    counts: Counts,
     labels: list[str],
     dim: int = DIM,
     epochs: int = EPOCHS,
@@ -101,27 +117,29 @@ def fit(
     batch: int = 32,
     seed: int = 7,
 ) -> Model:
-    """Train on n-gram counts (float32, overwritten); every fifth row calibrates instead."""
+    """Train on n-gram counts; every fifth row calibrates instead.
+
+    Only a batch of rows is spread out at a time: all of them would be 100 MB of the driver.
+    """
     languages = sorted(set(labels))
     index = {name: i for i, name in enumerate(languages)}
     y = np.array([index[x] for x in labels])
     aside = np.arange(len(y)) % 5 == 4 if len(y) >= 20 else np.zeros(len(y), dtype=bool)
-    kept = counts[aside]
-    share = counts  # turned into shares in place: the driver holds one such matrix
-    share /= np.maximum(share.sum(axis=1, keepdims=True), 1)
     random = np.random.default_rng(seed)
-    embeddings = random.normal(0, 1.0 / np.sqrt(dim), (counts.shape[1], dim)).astype(np.float32)
+    embeddings = random.normal(0, 1.0 / np.sqrt(dim), (len(ORDERS) << BITS, dim)).astype(np.float32)
     weights = np.zeros((dim, len(languages)), dtype=np.float32)
     bias = np.zeros(len(languages), dtype=np.float32)
     train = np.nonzero(~aside)[0]
     # n-grams are many and shares are small: scale the inputs, not the rate
-    scale = np.float32(np.sqrt(1.0 / max(float(np.einsum("ij,ij->i", share, share)[train].mean()), 1e-9)))
+    parts = (_shares([counts[i] for i in at]) for at in np.array_split(train, max(1, len(train) // batch)))
+    squares = [np.einsum("ij,ij->i", x, x) for x in parts]
+    scale = np.float32(np.sqrt(1.0 / max(float(np.concatenate(squares).mean()), 1e-9)))
     steps, step = epochs * max(1, -(-len(train) // batch)), 0
     for _ in range(epochs):
         order = random.permutation(train)
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]
-            x = share[rows] * scale
+            x = _shares([counts[i] for i in rows]) * scale
             hidden = x @ embeddings
             p = _softmax(hidden @ weights + bias)
             p[np.arange(len(rows)), y[rows]] -= 1
@@ -134,20 +152,22 @@ def fit(
             embeddings[touched] -= now * (x[:, touched].T @ back)
             step += 1
     model = Model(languages, (embeddings @ weights).astype(np.float64) * float(scale), bias.astype(np.float64))
-    return calibrate(model, kept, y[aside])
+    return calibrate(model, [counts[i] for i in np.nonzero(aside)[0]], y[aside])
 
 
-def calibrate(model: Model, counts: np.ndarray, y: np.ndarray, lose: float = LOSE) -> Model:
+def calibrate(model: Model, counts: Counts, y: np.ndarray, lose: float = LOSE) -> Model:
     """Set the temperature (least log loss) and the confidence that is rejected."""
     if len(y) == 0:
         return model
+    parts = [_shares(counts[at : at + 64]) @ model.table for at in range(0, len(counts), 64)]
+    scores = np.concatenate(parts) + model.bias
     best = (np.inf, 1.0)
     for t in np.geomspace(0.25, 8.0, 41):
         model.temperature = float(t)
-        p = model.probabilities(counts)[np.arange(len(y)), y]
+        p = _softmax(scores / model.temperature)[np.arange(len(y)), y]
         best = min(best, (float(-np.log(np.maximum(p, 1e-12)).mean()), float(t)))
     model.temperature = best[1]
-    p = model.probabilities(counts)
+    p = _softmax(scores / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == y]
     if len(right):
         # a margin below the lowest quantile that may be lost
@@ -195,10 +215,7 @@ def train(
     rows = picked.mapInPandas(count, "lang string, packed binary").limit(2 * max_sample).collect()
     rows.sort(key=lambda r: (r.lang, bytes(r.packed)))
     np.random.default_rng(1).shuffle(rows)
-    counts = np.zeros((len(rows), len(ORDERS) << BITS), dtype=np.float32)
-    for i, r in enumerate(rows):
-        at, n = np.split(np.frombuffer(bytes(r.packed), dtype="<u4"), 2)
-        counts[i, at] = n
+    counts = [tuple(np.split(np.frombuffer(bytes(r.packed), dtype="<u4"), 2)) for r in rows]
     return fit(counts, [r.lang for r in rows]) if len(rows) else None
 
 

@@ -197,7 +197,9 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str, id
                 yield part[own].drop(columns="set_key")
 
     rows = found.mapInPandas(run, "id long, n long, registers binary, shingles binary")
-    return rows.dropDuplicates(["id"])
+    # into a fixed number of parts, so that the joins by id that follow need no other shuffle
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, "id").dropDuplicates(["id"])
 
 
 def _likely(pairs: DataFrame, full: DataFrame) -> DataFrame:
@@ -266,21 +268,26 @@ def deduplicate(
     kept = (
         _judged(docs, words, text_col, id_col)
         .filter("kept")
-        .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("key"))
+        .select(
+            F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"),
+            F.col("doc_id").isNull().alias("no_id"),
+            F.col("text_hash").alias("key"),
+        )
         .distinct()
     )
-    # one struct, so that no column of the input can clash with the ones added here
+    # one struct, so that no column of the input can clash with the ones added here; plain
+    # keys, so that the texts are shuffled once, for the join and for the choice
     rows = docs.select(
         F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-        F.col(id_col).cast("long").alias("doc"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc"),
+        F.col(id_col).cast("long").isNull().alias("unnamed"),
         F.xxhash64(F.col(text_col)).alias("hash"),
     )
-    same = F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("key"))
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc", "hash"]).select("row.*")
+    same = (F.col("doc") == F.col("id")) & (F.col("unnamed") == F.col("no_id")) & (F.col("hash") == F.col("key"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc", "unnamed", "hash"]).select("row.*")
 
 
 def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFrame:
-    spark = docs.sparkSession
     sketched = stored(sketch(docs, words, text_col, id_col), "sketches")
     classes = (
         sketched.filter("set_key is not null and doc_id is not null")
@@ -310,10 +317,9 @@ def _judged(docs: DataFrame, words: int, text_col: str, id_col: str) -> DataFram
     )
     shared = stored(bands.join(hubs, "band").select("band", "id", "members"), "bands")
     wanted = classes.join(shared.select("id").distinct(), "id", "left_semi")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = _full_sets(docs, wanted, words, text_col, id_col)
     # stays where it is through all rounds; lost parts are computed again
-    full = full.repartition(partitions, "id").persist(StorageLevel.DISK_ONLY)
+    full = full.persist(StorageLevel.DISK_ONLY)
     try:
         label = _connected(shared, full)
     finally:
