@@ -62,3 +62,20 @@ def test_texts_are_shuffled_once_for_the_rows_that_stay(spark):
     want = [(False, i, t) for i, t in texts if i in known]
     want += [(True, 0, "no id at all"), (False, 0, "no id at all"), (False, 7, None), (False, 8, "")]
     assert got == sorted(want, key=repr)
+
+
+def test_pairs_meet_their_sets_in_one_pass(spark):
+    rows = families()[:60]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    full = setsketch.sketch(docs, 2).selectExpr("doc_id as least", "doc_id as id", "n_shingles as n", "set_key", "registers")
+    full = setsketch.stored(setsketch._full_sets(docs, full, 2, "text", "doc_id"), "full")
+    pairs = spark.createDataFrame([(a, b) for a, _ in rows for b, _ in rows if a < b], "a long, b long")
+    links = setsketch._links(pairs, full)
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2
+    sets = {i: set(zip(t.split(), t.split()[1:])) for i, t in rows}
+    near = {
+        (a, b) for a in sets for b in sets
+        if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    assert near and {tuple(r) for r in links.select("u", "v").collect()} == near

@@ -202,49 +202,41 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, text_col: str, id
     return rows.repartition(partitions, "id").dropDuplicates(["id"])
 
 
-def _likely(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) that may be links, with their estimated similarity."""
-    one = full.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
-    two = full.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
-    deviation = np.sqrt(SIMILAR / 100 * (1 - SIMILAR / 100) / REGISTERS)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), 2048):
-                part = frame.iloc[at : at + 2048]
-                x = np.frombuffer(b"".join(part["r_a"]), dtype="<u2").reshape(len(part), -1)
-                y = np.frombuffer(b"".join(part["r_b"]), dtype="<u2").reshape(len(part), -1)
-                guess = likely_similarity(
-                    x, y, part["n_a"].to_numpy(dtype=float), part["n_b"].to_numpy(dtype=float)
-                )
-                out = part[["a", "b"]].assign(guess=guess)
-                yield out[guess >= SIMILAR / 100 - DEVIATIONS * deviation]
-
-    sized = pairs.join(one, "a").join(two, "b")
-    fits = 100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")
-    return sized.filter(fits).mapInPandas(run, "a long, b long, guess double")
+def _links(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """(u, v) of the ``pairs`` (a, b) that are links: likely by size and estimate, judged on their full sets."""
 
+    def end(x: str) -> DataFrame:
+        return full.select(
+            F.col("id").alias(x), *[F.col(c).alias(f"{c[0]}_{x}") for c in ("n", "registers", "shingles")]
+        )
 
-def _verified(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) that are links, judged on their full sets."""
-    one = full.select(F.col("id").alias("a"), F.col("shingles").alias("s_a"))
-    two = full.select(F.col("id").alias("b"), F.col("shingles").alias("s_b"))
+    least = SIMILAR / 100 - DEVIATIONS * np.sqrt(SIMILAR / 100 * (1 - SIMILAR / 100) / REGISTERS)
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            a, b = [], []
-            for x, y, s, t in zip(*(batch.column(batch.schema.names.index(c)) for c in ("a", "b", "s_a", "s_b"))):
-                s = np.frombuffer(s.as_buffer(), dtype=np.uint64)
-                t = np.frombuffer(t.as_buffer(), dtype=np.uint64)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                if 100 * both >= SIMILAR * (len(s) + len(t) - both):
-                    a.append(x.as_py())
-                    b.append(y.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["u", "v"])
-
-    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(run, "u long, v long")
+        def values(column, kind):
+            return [np.frombuffer(x.as_buffer(), dtype=kind) for x in column]
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                batch = whole.slice(at, 2048)
+                column = dict(zip(batch.schema.names, batch.columns))
+                n_a, n_b = (column[c].to_numpy().astype(float) for c in ("n_a", "n_b"))
+                x, y = (np.stack(values(column[c], "<u2")) for c in ("r_a", "r_b"))
+                likely = pa.array(likely_similarity(x, y, n_a, n_b) >= least)
+                column = {c: column[c].filter(likely) for c in ("a", "b", "s_a", "s_b")}
+                alike = []
+                for s, t in zip(values(column["s_a"], np.uint64), values(column["s_b"], np.uint64)):
+                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    alike.append(100 * both >= SIMILAR * (len(s) + len(t) - both))
+                alike = pa.array(alike, pa.bool_())
+                yield pa.RecordBatch.from_arrays([column[c].filter(alike) for c in ("a", "b")], ["u", "v"])
+
+    # all that a pair needs in one row, so that the pairs are shuffled once by each end
+    sized = pairs.select("a", "b").join(end("a"), "a").join(end("b"), "b")
+    fits = 100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")
+    return sized.filter(fits).mapInArrow(run, "u long, v long")
 
 
 def _nearest(pairs: DataFrame) -> DataFrame:
@@ -350,7 +342,7 @@ def _connected(shared: DataFrame, full: DataFrame) -> DataFrame:
     hubs = shared.groupBy("band").agg(F.max(F.struct("company", "id")).alias("hub"))
     met = shared.join(hubs, "band").select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
     pairs = stored(_nearest(met.filter("a <> b")), "hub-pairs")
-    links = stored(_verified(_likely(pairs, full), full), "links")
+    links = stored(_links(pairs, full), "links")
     label = components(links)
     discard(pairs, links)
     clusters = _clusters(shared, label)
@@ -389,9 +381,9 @@ def _clusters(shared: DataFrame, label: DataFrame) -> DataFrame:
     members = stored(members, "mixed")
     discard(labelled)
     joined = components(members.select(F.col("id").alias("u"), F.col("hub").alias("v")))
-    joined = joined.groupBy("node").agg(F.min("component").alias("cluster"))
     strays = members.groupBy("id").agg(F.bool_or("stray").alias("stray"))
-    out = stored(strays.join(joined, F.col("id") == F.col("node")).select("cluster", "id", "stray"), "clusters")
+    out = strays.join(joined, F.col("id") == F.col("node")).select(F.col("component").alias("cluster"), "id", "stray")
+    out = stored(out, "clusters")
     discard(members)
     return out
 
