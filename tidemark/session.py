@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,6 +51,27 @@ def tune_feeds(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries planned in this block delete their shuffle files as they end.
+
+    Otherwise the files stay until the driver happens to collect its garbage, so
+    disk grows with the sum of all queries. Only for frames that run once.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediates.
 
