@@ -203,7 +203,10 @@ def position_invalid(x: Column) -> Column:
 
 
 def parse_rating(x: Column) -> Column:
-    return F.regexp_replace(F.translate(x, ",", "."), "[^0-9.]", "").try_cast("double")
+    t = F.regexp_replace(F.replace(x, F.lit(","), F.lit(".")), "[^0-9.]", "")
+    # text of digits and points is no number only then; a failing cast costs an exception
+    points = F.length(t) - F.length(F.replace(t, F.lit("."), F.lit("")))
+    return F.when((points < 2) & ~t.isin("", "."), t.try_cast("double"))
 
 
 def rescale_rating(v: Column) -> Column:
